@@ -1,0 +1,20 @@
+"""Size check that decides between a broadcast plan and a shuffle plan."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate is within the session's broadcast limit.
+
+    Reads plan statistics only, no job runs. A plan of unknown size counts as
+    too large.
+    """
+    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    jvm = df.sparkSession._jvm
+    limit = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf)
+    if limit <= 0:
+        return False
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= limit
