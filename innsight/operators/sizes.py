@@ -1,20 +1,25 @@
-"""Size check that decides between a broadcast plan and a shuffle plan."""
+"""Sizes as the optimizer sees them. Plan statistics only, no job runs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Estimated size of a DataFrame; None over a remote session, which shows no statistics."""
+    if not hasattr(df, "_jdf"):
+        return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate is within the session's broadcast limit.
+    """Whether the estimate is within the session's broadcast limit.
 
-    Reads plan statistics only, no job runs. A plan of unknown size counts as
-    too large.
+    A plan of unknown size counts as too large.
     """
-    conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    jvm = df.sparkSession._jvm
-    limit = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf)
-    if limit <= 0:
+    size = estimated_bytes(df)
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if size is None or limit.startswith("-"):
         return False
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= limit
+    to_bytes = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    return size <= to_bytes(limit)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innsight.functions import address, text
+from innsight.functions import text
+from innsight.functions.address import with_place
 from innsight.schema import CLEAN, DOUBLE_COLUMNS, IMPUTED, INT_COLUMNS, RAW_COLUMNS, REQUIRED_COLUMNS
 
 REVIEW_ID = "Review_Id"
@@ -22,11 +23,7 @@ def typed(raw: DataFrame) -> DataFrame:
     by_name["Review_Date"] = F.try_to_date(F.col("Review_Date"), "M/d/yyyy")
     by_name["days_since_review"] = text.first_integer(F.col("days_since_review"))
     by_name["Tags"] = text.parse_tags(F.col("Tags"))
-    return raw.select(
-        *[by_name.get(name, F.col(name)).alias(name) for name in RAW_COLUMNS],
-        address.nation(F.col("Hotel_Address")).alias("Hotel_Nationality"),
-        address.city(F.col("Hotel_Address")).alias("Hotel_City"),
-    )
+    return with_place(raw.select(*[by_name.get(name, F.col(name)).alias(name) for name in RAW_COLUMNS]))
 
 
 def clean(typed_reviews: DataFrame, with_id: bool = False) -> DataFrame:
@@ -36,20 +33,18 @@ def clean(typed_reviews: DataFrame, with_id: bool = False) -> DataFrame:
     by trimming stay apart. ``with_id`` adds a 128-bit key of the row as it was
     before tidying, unique since no two such rows are equal.
     """
-    # Nation and city follow from the address: kept out of the copy check to
-    # keep its shuffle narrow, and worked out again for the rows that remain.
+    # Nation and city follow from the address: left out of the copy check to keep
+    # its shuffle narrow, and worked out for the rows that remain.
     distinct = (
         typed_reviews.select(*RAW_COLUMNS)
         .na.drop(subset=[*REQUIRED_COLUMNS, "lat", "lng"])
         .dropDuplicates()
     )
     tidied = {
-        name: text.or_default(text.tidy(F.col(name)), default).alias(name)
-        for name, default in IMPUTED.items()
+        name: text.or_default(text.tidy(F.col(name)), default) for name, default in IMPUTED.items()
     }
-    tidied["Hotel_Nationality"] = address.nation(F.col("Hotel_Address")).alias("Hotel_Nationality")
-    tidied["Hotel_City"] = address.city(F.col("Hotel_Address")).alias("Hotel_City")
-    columns = [tidied.get(name, F.col(name)) for name in CLEAN.fieldNames()]
+    columns = list(CLEAN.fieldNames())
     if with_id:
-        columns.append(F.md5(F.to_json(F.struct(*RAW_COLUMNS))).alias(REVIEW_ID))
-    return distinct.select(*columns)
+        distinct = distinct.withColumn(REVIEW_ID, F.md5(F.to_json(F.struct(*RAW_COLUMNS))))
+        columns.append(REVIEW_ID)
+    return with_place(distinct.withColumns(tidied)).select(*columns)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innsight.functions.text import or_default, parse_tags, tidy
+from innsight.operators.sizes import estimated_bytes
 from innsight.schema import IMPUTED
 
 LEXICON = {"and": 1.5, "that": -0.5, "with": 2.0, "the": -0.25, "was": -2.0, "from": 0.75}
@@ -27,6 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+SMALL_BYTES = 256 << 20
+
+
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a small table out to all cores before costly work on its rows.
+
+    A small file is one row group and would be one task. A large table has
+    plenty of row groups and is left as it is.
+    """
+    size = estimated_bytes(df)
+    if size is None or size > SMALL_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def lexicon(spark: SparkSession) -> DataFrame:
     rows = ", ".join(
         f"('{word}', {valence}D, '{PARTS_OF_SPEECH[word]}')" for word, valence in LEXICON.items()
@@ -63,6 +79,8 @@ def _join_dimensions(spark: SparkSession, sf_dir: str, wanted: set[str]) -> Data
         return table(spark, sf_dir, name)
 
     star = table_of("lineitem")
+    if wanted & (_OF_PART | _OF_ORDER_AND_PART).keys():
+        star = _spread(star, "l_orderkey", "l_linenumber")
     if wanted & _OF_HOTEL.keys():
         hotels = table_of("supplier").drop("s_acctbal")
         if wanted & {"Hotel_City", "Hotel_Nationality", "Hotel_Address"}:
@@ -96,7 +114,7 @@ def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = _spread(table(spark, sf_dir, "documents"), "doc_id")
     end = F.instr("text", "\n")
     whole = F.col("text")
     positive = F.when(end > 0, F.substr(whole, F.lit(1), end - 1)).otherwise(whole)
