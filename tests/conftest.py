@@ -15,6 +15,7 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "5000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,0 +1,150 @@
+"""Hand-written raw rows through reading, typing and cleaning."""
+
+import datetime
+
+import pytest
+
+from innsight.plans import ingest, quality
+from innsight.schema import CLEAN, RAW, RAW_COLUMNS
+from innsight.sources import reviews as source
+
+GOOD = {
+    "Hotel_Address": "1 Rd London NW1 6XE United Kingdom",
+    "Additional_Number_of_Scoring": "194",
+    "Review_Date": "8/3/2017",
+    "Average_Score": "7.7",
+    "Hotel_Name": "Hotel A",
+    "Reviewer_Nationality": " Italy ",
+    "Negative_Review": " Too LOUD ",
+    "Review_Total_Negative_Word_Counts": "2",
+    "Total_Number_of_Reviews": "1403",
+    "Positive_Review": " Nice view ",
+    "Review_Total_Positive_Word_Counts": "2",
+    "Total_Number_of_Reviews_Reviewer_Has_Given": "7",
+    "Reviewer_Score": "7.1",
+    "Tags": "[' Leisure trip ', ' Couple ']",
+    "days_since_review": "3 days",
+    "lat": "51.5",
+    "lng": "-0.1",
+}
+
+
+def raw(spark, *changes):
+    rows = [tuple((GOOD | change)[name] for name in RAW_COLUMNS) for change in changes]
+    return spark.createDataFrame(rows, RAW)
+
+
+def cleaned(spark, *changes):
+    return ingest.clean(ingest.typed(raw(spark, *changes))).collect()
+
+
+def test_good_row(spark):
+    df = ingest.clean(ingest.typed(raw(spark, {})))
+    assert df.schema.simpleString() == CLEAN.simpleString()
+    (row,) = df.collect()
+    assert row.Review_Date == datetime.date(2017, 8, 3)
+    assert row.Tags == ["Leisure trip", "Couple"]
+    assert (row.Positive_Review, row.Negative_Review, row.Reviewer_Nationality) == (
+        "nice view",
+        "too loud",
+        "italy",
+    )
+    assert (row.days_since_review, row.Reviewer_Score, row.lat, row.lng) == (3, 7.1, 51.5, -0.1)
+    assert (row.Hotel_Nationality, row.Hotel_City) == ("United Kingdom", "London")
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"lat": "NA"},
+        {"lng": ""},
+        {"Review_Date": "2017-13-40"},
+        {"days_since_review": "n/a"},
+        {"Additional_Number_of_Scoring": ""},
+        {"Average_Score": None},
+        {"Hotel_Name": None},
+        {"Tags": None},
+        {"Reviewer_Score": "good"},
+    ],
+)
+def test_unusable_rows_are_dropped(spark, change):
+    assert cleaned(spark, change) == []
+
+
+@pytest.mark.parametrize(
+    ("address", "nation", "city"),
+    [
+        ("x 1 Milan Italy", "Italy", "Milan"),
+        ("1 Rd London NW1 6XE United Kingdom", "United Kingdom", "London"),
+        ("1 Rd London A B C 6BD United Kingdom", "United Kingdom", "London"),
+        ("1 Rd London NW1 6XE United  Kingdom", "United Kingdom", "London"),
+        ("Italy 5 Milan Italy", "Italy", None),
+        ("Via France 5 Paris France", "France", "Via"),
+        ("NW1 United Kingdom", "United Kingdom", None),
+        ("Italy", "Italy", None),
+        ("a b", None, None),
+        ("Rue Saint-Denis", "Denis", None),
+        (None, None, None),
+    ],
+)
+def test_place_of_address(spark, address, nation, city):
+    (row,) = cleaned(spark, {"Hotel_Address": address})
+    assert (row.Hotel_Nationality, row.Hotel_City) == (nation, city)
+
+
+def test_blank_texts_are_imputed(spark):
+    for blank in ("   ", "", None):
+        (row,) = cleaned(
+            spark,
+            {"Positive_Review": blank, "Negative_Review": blank, "Reviewer_Nationality": blank},
+        )
+        assert row.Positive_Review == "No positive comment"
+        assert row.Negative_Review == "No negative comment"
+        assert row.Reviewer_Nationality == "Unknown"
+
+
+def test_copies(spark):
+    assert len(cleaned(spark, {}, {})) == 1
+    # Equal only once trimmed: both stay.
+    assert len(cleaned(spark, {}, {"Positive_Review": "Nice view"})) == 2
+
+
+def test_review_id_is_unique_and_stable(spark):
+    rows = [{}, {}, {"Positive_Review": "Nice view"}, {"Positive_Review": None}, {"Negative_Review": None}]
+    df = ingest.clean(ingest.typed(raw(spark, *rows)), with_id=True)
+    ids = sorted(row.Review_Id for row in df.collect())
+    assert len(set(ids)) == 4
+    assert ids == sorted(row.Review_Id for row in df.repartition(3).collect())
+
+
+def test_tags_with_apostrophe(spark):
+    (row,) = cleaned(spark, {"Tags": "[' Traveler's pick ', ' Solo ']"})
+    assert row.Tags == ["Travelers pick", "Solo"]
+
+
+def test_csv_in_parquet_out(spark, tmp_path):
+    written = raw(spark, {}, {"Hotel_Address": "x 1 Milan Italy", "Positive_Review": "Così, \"bello\""}, {"Hotel_Address": None})
+    written.coalesce(1).write.option("header", True).option("escape", '"').csv(str(tmp_path / "in"))
+    df = source.read_raw(spark, str(tmp_path / "in"), escape='"')
+    assert df.schema == RAW
+    reviews = ingest.clean(ingest.typed(df))
+    source.write_clean(reviews, str(tmp_path / "out"))
+    again = source.read_clean(spark, str(tmp_path / "out")).select(*reviews.columns)
+    assert sorted(map(str, again.collect())) == sorted(map(str, reviews.collect()))
+    assert {row.Positive_Review for row in again.collect()} == {"nice view", 'così, "bello"'}
+    plan = again.filter("Hotel_Nationality = 'Italy'")
+    assert plan.count() == 1
+    assert "PartitionFilters: [isnotnull(Hotel_Nationality" in plan._jdf.queryExecution().toString()
+
+
+def test_profiles(spark):
+    df = ingest.typed(raw(spark, {"Positive_Review": "  ", "lat": "NA"}, {"Positive_Review": None}))
+    profile = {row["column"]: row for row in quality.null_profile(df).collect()}
+    assert (profile["Positive_Review"].non_null, profile["Positive_Review"].missing) == (0, 2)
+    assert (profile["lat"].non_null, profile["lat"].missing) == (1, 1)
+    counts = {row["column"]: row for row in quality.non_null_counts(df).collect()}
+    assert (counts["Positive_Review"].non_null, counts["Positive_Review"].total) == (1, 2)
+    info = {row["column"]: row.type for row in quality.table_info(df).collect()}
+    assert info["Tags"] == "array<string>" and info["Review_Date"] == "date"
+    assert quality.rows_with_blanks(df).count() == 2
+    assert quality.rows_with_blanks(ingest.typed(raw(spark, {}))).count() == 0
