@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innsight.functions.text import digest_line, summary_prompt
+from innsight.functions.text import digest_line, strip_reasoning, summary_prompt
+from innsight.operators.scoring import Scorer, score_text
 from innsight.operators.skew import HOT_ROWS, top_n
 from innsight.plans.common import only
 from innsight.schema import IMPUTED, SITE_BLANKS
@@ -52,3 +54,9 @@ def review_digest(
             summary_prompt(F.array_join("_lines.line", "")).alias("prompt"),
         )
     )
+
+
+def hotel_summaries(digests: DataFrame, make_model: Callable[[], Scorer]) -> DataFrame:
+    """What a text model supplied by the caller answers to each prompt, without its reasoning."""
+    answer = score_text(F.col("prompt"), make_model)
+    return digests.select("Hotel_Name", "num_reviews", strip_reasoning(answer).alias("summary"))

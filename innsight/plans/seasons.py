@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from innsight.functions.bands import map_bin
 from innsight.functions.dates import season
 from innsight.operators.sentiment import Lexicon, with_sentiment
-from innsight.plans.common import only
+from innsight.plans.common import only, sorted_if
 
 
 def _scored(reviews: DataFrame, lexicon: Lexicon, id_column: str | None) -> DataFrame:
@@ -29,7 +29,7 @@ def sentiment_by_season(
 def sentiment_by_hotel_season(
     reviews: DataFrame, lexicon: Lexicon, hotel: str | None = None, id_column: str | None = None
 ) -> DataFrame:
-    return (
+    stats = (
         _scored(only(reviews, "Hotel_Name", hotel), lexicon, id_column)
         .groupBy("Season", "Hotel_Name")
         .agg(
@@ -38,8 +38,8 @@ def sentiment_by_hotel_season(
             F.round(F.avg("Reviewer_Score"), 4).alias("Avg_Review_Score"),
             F.count(F.lit(1)).alias("Num_Reviews"),
         )
-        .orderBy("Hotel_Name", "Season")
     )
+    return sorted_if(stats, hotel, "Season")
 
 
 def sentiment_by_nation_season(

@@ -90,7 +90,7 @@ def _km(lat0: str, lng0: str, lat1: str, lng1: str) -> str:
 
 
 def _six(sql: str) -> str:
-    return f"round({sql}, 6) + 0e0"
+    return f"floor(({sql}) * 1e6 + 0.5e0) / 1e6"
 
 
 _SITES = "sites as (select distinct Hotel_Name, Hotel_City, lat, lng from reviews)"
@@ -442,6 +442,13 @@ def oracle_sql() -> dict[str, str]:
             || chr(10) || string_agg('Positiva: ' || Positive_Review || ' | Negativa: ' || Negative_Review || '. ',
               '' order by rn) as prompt
           from ranked where rn <= 50 group by Hotel_Name""",
+        "hotel_summaries": f"""with {TEXTS},
+          two_sided as (select Hotel_Name, count(*) as n from texts
+            where lower(Positive_Review) not in ('no positive', 'no positive comment')
+              and lower(Negative_Review) not in ('no negative', 'no negative comment')
+            group by Hotel_Name)
+          select Hotel_Name, cast(least(n, 50) as integer) as num_reviews,
+            concat(least(n, 50), ' reviews') as summary from two_sided""",
         "model_output_text": """select conv_id, turn,
             regexp_replace(text, '^\\s+|\\s+$', '', 'g') as answer from conversations""",
         "clean_reviews": _clean(),

@@ -29,10 +29,13 @@ _SITE = ("Hotel_Name", "Hotel_City", "lat", "lng")
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Doubles to six places, so that the order of summation does not show."""
+    """Doubles to six places, so that the order of summation does not show.
+
+    Spelled out, since engines differ in how ``round`` treats a 5 at the end.
+    """
     return df.select(
         *[
-            (F.round(field.name, 6) + F.lit(0.0)).alias(field.name)
+            (F.floor(F.col(field.name) * 1e6 + 0.5) / F.lit(1e6)).alias(field.name)
             if isinstance(field.dataType, T.DoubleType)
             else F.col(field.name)
             for field in df.schema.fields
@@ -57,6 +60,19 @@ def toy_model(labels: dict[float, str]) -> Callable[[], Callable[[pd.Series], pd
     return make
 
 
+def toy_summariser():
+    """A stand-in for a text model: it counts the reviews of a prompt."""
+
+    def make():
+        def answer(prompts):
+            found = prompts.str.count("Positiva: ").astype(str)
+            return "<think>one, two\n...</think>\n" + found + " reviews"
+
+        return answer
+
+    return make
+
+
 CLASSIFIER_OUTPUT = {1: "positive", 0: "neutral", -1: "negative"}
 CHAT_OUTPUT = {
     1: "The sentiment is Positive, not negative.",
@@ -197,6 +213,9 @@ def queries() -> dict[str, Query]:
         ),
         # Digests
         "review_digest": _of_texts(digest.review_digest),
+        "hotel_summaries": _of_texts(
+            lambda df: digest.hotel_summaries(digest.review_digest(df), toy_summariser())
+        ),
         "model_output_text": lambda spark, sf_dir: views.table(
             spark, sf_dir, "conversations"
         ).select(

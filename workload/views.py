@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from innsight.functions.text import or_default, parse_tags, tidy
 from innsight.operators.sizes import estimated_bytes
@@ -24,8 +25,14 @@ LEXICON = {"and": 1.5, "that": -0.5, "with": 2.0, "the": -0.25, "was": -2.0, "fr
 PARTS_OF_SPEECH = {"and": "r", "that": "a", "with": "a", "the": "n", "was": "v", "from": "r"}
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:  # the footer is read once, not for every query
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 SMALL_BYTES = 256 << 20
