@@ -45,6 +45,8 @@ def lexicon_score(
         raise ValueError(
             f"a mapping may hold {INLINE_WORDS} words at most, pass larger lexicons as a table"
         )
+    # One JSON literal, folded by the optimizer: thousands of single literals
+    # would take seconds to hand over to the JVM.
     slots = 1 << max(len(lexicon) // 8, 1).bit_length()
     table: list[dict[str, float]] = [{} for _ in range(slots)]
     for word, valence in lexicon.items():

@@ -43,10 +43,10 @@ def spread_join(
     """
     pieces = F.ceil(F.col(rows) / F.lit(hot_rows)).cast("int")
     hot = per_key.filter(F.col(rows) > hot_rows).select(key, pieces.alias(_PIECES))
-    salt = F.pmod(F.xxhash64(*spread_by), F.col(_PIECES)).cast("int")
+    piece = F.pmod(F.xxhash64(*spread_by), F.col(_PIECES)).cast("int")
     salted = (
         fact.join(F.broadcast(hot), key, "left")
-        .withColumn(_SALT, F.coalesce(salt, F.lit(0)))
+        .withColumn(_SALT, F.when(F.col(_PIECES).isNotNull(), piece).otherwise(0))
         .drop(_PIECES)
     )
     repeated = per_key.withColumn(_SALT, F.explode(F.sequence(F.lit(0), pieces - 1)))
@@ -59,17 +59,17 @@ def top_n(
     order: Sequence[Column],
     n: int,
     rank: str = "rank",
-    hot_rows: int | None = None,
+    hot: DataFrame | None = None,
     pieces: int = 64,
 ) -> DataFrame:
     """First ``n`` rows of each key under a total order, with their rank.
 
     Spark cuts every map task to ``n`` rows per key before the shuffle
     (``WindowGroupLimit``), so a key reaches its final task with at most
-    ``n`` rows per map task. With ``hot_rows`` set, keys beyond it are ranked in
-    two steps, first within ``pieces`` hashed parts, so that the last task sees
-    ``n * pieces`` rows of a hot key however many map tasks there were. Keys
-    must not be null when ``hot_rows`` is set.
+    ``n`` rows per map task. Keys listed in ``hot`` (from :func:`hot_keys`) are
+    ranked in two steps, first within ``pieces`` hashed parts, so that the last
+    task sees ``n * pieces`` rows of a hot key however many map tasks there
+    were. Keys must not be null when ``hot`` is given.
     """
 
     def ranked(part: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -77,9 +77,9 @@ def top_n(
         return part.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
     keys = list(keys)
-    if hot_rows is None:
+    if hot is None:
         return ranked(df, keys)
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
+    hot = F.broadcast(hot)
     cold = df.join(hot, keys, "left_anti")
     heavy = df.join(hot, keys, "left_semi").withColumn(
         _SALT, F.pmod(F.xxhash64(*df.columns), F.lit(pieces))

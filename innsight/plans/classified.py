@@ -17,7 +17,7 @@ from innsight.functions.dates import NO_SEASON, season
 from innsight.functions.text import combined_review, is_blank, parse_label
 from innsight.operators.scoring import Scorer, score_text
 from innsight.operators.sentiment import compound, lexicon_score, review_words
-from innsight.operators.skew import HOT_ROWS, top_n
+from innsight.operators.skew import HOT_ROWS, hot_keys, top_n
 from innsight.plans.common import only, sorted_if
 
 
@@ -75,21 +75,23 @@ def seasonal_label_stats(
     :func:`innsight.functions.text.parse_label`. It sees the chosen reviews only.
     """
     positive, negative = _parts()
+    keys = ["Hotel_Name", "Season"]
     dated = only(reviews, "Hotel_Name", hotel).withColumn("Season", season(F.col("Review_Date")))
+    dated = dated.filter(F.col("Season") != NO_SEASON)
     columns = dict.fromkeys(
         ["Hotel_Name", "Hotel_Address", "Season", "Positive_Review", "Negative_Review", "Reviewer_Score", *order]
     )
     chosen = top_n(
-        dated.filter(F.col("Season") != NO_SEASON).select(*columns),
-        ["Hotel_Name", "Season"],
+        dated.select(*columns),
+        keys,
         [F.asc(name) for name in order],
         per_season,
-        hot_rows=hot_rows,
+        hot=None if hot_rows is None else hot_keys(dated, keys, hot_rows),
     )
     labelled = chosen.withColumn(
         "_label", parse_label(score_text(combined_review(positive, negative), make_scorer))
     )
-    stats = labelled.groupBy("Hotel_Name", "Season").agg(
+    stats = labelled.groupBy(*keys).agg(
         F.min("Hotel_Address").alias("Hotel_Address"),
         F.round(F.avg("_label"), 4).alias("Avg_Sentiment_Score"),
         F.round(F.avg("Reviewer_Score"), 4).alias("Avg_Review_Score"),

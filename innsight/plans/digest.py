@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from innsight.functions.text import digest_line, strip_reasoning, summary_prompt
 from innsight.operators.scoring import Scorer, score_text
-from innsight.operators.skew import HOT_ROWS, top_n
+from innsight.operators.skew import HOT_ROWS, hot_keys, top_n
 from innsight.plans.common import only
 from innsight.schema import IMPUTED, SITE_BLANKS
 
@@ -36,17 +36,19 @@ def review_digest(
     """
     texts = list(SITE_BLANKS)
     activity = "Total_Number_of_Reviews_Reviewer_Has_Given"
+    chosen = only(reviews, "Hotel_Name", hotel)
     two_sided = (
-        only(reviews, "Hotel_Name", hotel)
-        .filter(reduce(and_, [_has_text(name) for name in texts]))
+        chosen.filter(reduce(and_, [_has_text(name) for name in texts]))
         .select("Hotel_Name", activity, *texts)
     )
     order = [F.asc(activity), *[F.asc(name) for name in texts]]
-    chosen = top_n(two_sided, ["Hotel_Name"], order, limit, hot_rows=hot_rows)
+    # Counted over all reviews, so that the count reads no text.
+    hot = None if hot_rows is None else hot_keys(chosen, ["Hotel_Name"], hot_rows)
+    first = top_n(two_sided, ["Hotel_Name"], order, limit, hot=hot)
     line = digest_line(*[F.col(name) for name in texts]).alias("line")
     # At most ``limit`` lines per hotel are collected.
     return (
-        chosen.groupBy("Hotel_Name")
+        first.groupBy("Hotel_Name")
         .agg(F.array_sort(F.collect_list(F.struct("rank", line))).alias("_lines"))
         .select(
             "Hotel_Name",

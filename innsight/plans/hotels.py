@@ -63,12 +63,13 @@ def anomalous_reviews(
     reviews: DataFrame,
     k: float = 2.0,
     hotel: str | None = None,
-    spread_by: tuple[str, ...] = ("Review_Date", "Reviewer_Score"),
+    spread_by: tuple[str, ...] = ("Review_Date",),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Reviews whose score is more than ``k`` sample deviations off their hotel's mean.
 
-    A hotel with much of the data is spread over several tasks by ``spread_by``.
+    A hotel with much of the data is spread over several tasks by ``spread_by``
+    and the texts.
     """
     chosen = only(reviews, "Hotel_Name", hotel)
     stats = chosen.groupBy("Hotel_Name").agg(
@@ -77,10 +78,10 @@ def anomalous_reviews(
         F.stddev_samp("Reviewer_Score").alias("stddev_score"),
     )
     texts = ["Positive_Review", "Negative_Review"]
-    columns = dict.fromkeys(["Hotel_Name", "Reviewer_Score", *texts, *spread_by])
+    columns = list(dict.fromkeys(["Hotel_Name", "Reviewer_Score", *texts, *spread_by]))
     off = F.abs(F.col("Reviewer_Score") - F.col("avg_score"))
     found = (
-        spread_join(chosen.select(*columns), stats, "Hotel_Name", "_n", spread_by, hot_rows)
+        spread_join(chosen.select(*columns), stats, "Hotel_Name", "_n", columns, hot_rows)
         .filter(off > k * F.col("stddev_score"))
         .select("Hotel_Name", "Reviewer_Score", "avg_score", "stddev_score", *texts)
     )

@@ -61,8 +61,10 @@ def test_top_n_equals_brute_force(spark):
         for rank, (v, i) in enumerate(sorted(members)[:5], start=1)
     )
     order = [F.asc("v"), F.asc("i")]
-    for hot_rows in (None, 1, 100, 10_000):
-        assert rows(top_n(df, ["k"], order, 5, hot_rows=hot_rows, pieces=4)) == expected
+    assert rows(top_n(df, ["k"], order, 5)) == expected
+    for hot_rows in (1, 100, 10_000):
+        hot = hot_keys(df, ["k"], hot_rows)
+        assert rows(top_n(df, ["k"], order, 5, hot=hot, pieces=4)) == expected
 
 
 def test_plans_do_not_depend_on_what_counts_as_hot(spark):
