@@ -116,3 +116,31 @@ def test_outline_names(spark, tmp_path):
     )
     assert [row.name for row in place_tables.outline_names(spark, str(path)).collect()] == ["Italy"]
     assert place_tables.outline_names(spark, str(path), ["Norway"]).count() == 1
+
+
+def test_crowded_cell_is_split_at_run_time(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        # Two points in three lie in one cell, the rest all over the world.
+        reviews = spark.range(0, 3000, 1, 16).selectExpr(
+            "concat('H', id) as Hotel_Name",
+            "'City' as Hotel_City",
+            "if(id % 3 > 0, 45D + id / 1e7, (id % 170) - 85D) as lat",
+            "if(id % 3 > 0, 9D, (id % 357) - 178D) as lng",
+        )
+        pairs = nearby.hotels_near_hotel(reviews, 1.0)
+        assert pairs.count() == 2000 * 1999
+        found = pairs.selectExpr("count(*)")
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)

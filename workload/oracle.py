@@ -28,7 +28,8 @@ reviews as (
     cn.n_name as Reviewer_Nationality, cast(l.l_shipdate as date) as Review_Date,
     10e0 - l.l_quantity*l.l_quantity/256e0 as Reviewer_Score,
     8e0 + (s.s_suppkey % 16)/16e0 as Average_Score,
-    lower(p.p_name) as Positive_Review, lower(o.o_orderpriority) as Negative_Review,
+    concat('flag ', lower(l.l_returnflag), ' and status ', lower(l.l_linestatus)) as Positive_Review,
+    concat('line ', l.l_linenumber, ' of order ', l.l_orderkey) as Negative_Review,
     [o.o_orderpriority, p.p_type, l.l_returnflag] as Tags
   from lineitem l join orders o on l.l_orderkey=o.o_orderkey
     join customer c on o.o_custkey=c.c_custkey join nation cn on c.c_nationkey=cn.n_nationkey

@@ -69,13 +69,11 @@ _OF_HOTEL = {
 _OF_REVIEW = {
     "Review_Date": "cast(l_shipdate as date)",
     "Reviewer_Score": "10D - l_quantity * l_quantity / 256D",
+    "Positive_Review": "concat('flag ', lower(l_returnflag), ' and status ', lower(l_linestatus))",
+    "Negative_Review": "concat('line ', l_linenumber, ' of order ', l_orderkey)",
 }
-_OF_ORDER = {
-    "Total_Number_of_Reviews_Reviewer_Has_Given": "cast(o_custkey % 40 + 1 as int)",
-    "Negative_Review": "lower(o_orderpriority)",
-}
+_OF_ORDER = {"Total_Number_of_Reviews_Reviewer_Has_Given": "cast(o_custkey % 40 + 1 as int)"}
 _OF_REVIEWER = {"Reviewer_Nationality": "rn_name"}
-_OF_PART = {"Positive_Review": "lower(p_name)"}
 _OF_ORDER_AND_PART = {
     "Tags": "concat('['' ', o_orderpriority, ' '', '' ', p_type, ' '', '' ', l_returnflag, ' '']')"
 }
@@ -86,7 +84,7 @@ def _join_dimensions(spark: SparkSession, sf_dir: str, wanted: set[str]) -> Data
         return table(spark, sf_dir, name)
 
     star = table_of("lineitem")
-    if wanted & (_OF_PART | _OF_ORDER_AND_PART).keys():
+    if wanted & _OF_ORDER_AND_PART.keys():
         star = _spread(star, "l_orderkey", "l_linenumber")
     if wanted & _OF_HOTEL.keys():
         hotels = table_of("supplier").drop("s_acctbal")
@@ -106,16 +104,14 @@ def _join_dimensions(spark: SparkSession, sf_dir: str, wanted: set[str]) -> Data
         )
         reviewers = table_of("customer").join(nations, F.col("c_nationkey") == F.col("rn_nationkey"))
         star = star.join(reviewers, F.col("o_custkey") == F.col("c_custkey"))
-    if wanted & (_OF_PART | _OF_ORDER_AND_PART).keys():
+    if wanted & _OF_ORDER_AND_PART.keys():
         star = star.join(table_of("part"), F.col("l_partkey") == F.col("p_partkey"))
     return star
 
 
 def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     star = _join_dimensions(spark, sf_dir, set(columns))
-    formulas = (
-        _OF_HOTEL | _OF_REVIEW | _OF_ORDER | _OF_REVIEWER | _OF_PART | _OF_ORDER_AND_PART
-    )
+    formulas = _OF_HOTEL | _OF_REVIEW | _OF_ORDER | _OF_REVIEWER | _OF_ORDER_AND_PART
     derived = star.select(*[F.expr(formulas[name]).alias(name) for name in columns])
     return derived.withColumn("Tags", parse_tags(F.col("Tags"))) if "Tags" in columns else derived
 
@@ -141,7 +137,7 @@ def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    needed = {"Hotel_Name", "Reviewer_Nationality", "Positive_Review", "Tags"}
+    needed = {"Hotel_Name", "Reviewer_Nationality", "Tags"}
     star = _join_dimensions(spark, sf_dir, needed)
     address = """
         case s_suppkey % 8
