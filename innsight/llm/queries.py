@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innsight.llm import common, counting, quality, sharding, tokens
+from innsight.llm import common, counting, decontamination, lines, quality, sharding, simhash, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,20 @@ def _table(name: str, *columns: str):
 _texts = _table("documents", "doc_id", "text")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminations(
+        _texts(spark, sf_dir), _table("benchmark", "item_id", "text")(spark, sf_dir)
+    )
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_texts(spark, sf_dir))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(_table("documents", "doc_id", "source", "text")(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_texts(spark, sf_dir))
 
@@ -39,6 +54,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_texts(spark, sf_dir), [1.0] * SHARDS)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{common.shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    pages = _table("pages", "page_id", "url", "html")(spark, sf_dir)
+    return warc.round_trip(pages, folder).drop("url")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(_texts(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -49,12 +70,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": op1_decontamination,
+        "op2_simhash": op2_simhash,
+        "op3_line_dedup": op3_line_dedup,
         "op5_quality_rules": op5_quality_rules,
         "op6_sharding": op6_sharding,
+        "op7_warc": op7_warc,
         "op9_bpe": op9_bpe,
         "op10_token_counts": op10_token_counts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_dedup": lines.REPORT_SQL}
