@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innsight.llm import common, counting, decontamination, lines, quality, sharding, simhash, tokens, warc
+from innsight.llm import common, counting, decontamination, lines, personal, quality, secrets, sharding, simhash, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(_table("documents", "doc_id", "source", "text")(spark, sf_dir))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_texts(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_texts(spark, sf_dir))
 
@@ -60,6 +64,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(pages, folder).drop("url")
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find(_texts(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(_texts(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -73,9 +81,11 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": op1_decontamination,
         "op2_simhash": op2_simhash,
         "op3_line_dedup": op3_line_dedup,
+        "op4_secret_scan": op4_secret_scan,
         "op5_quality_rules": op5_quality_rules,
         "op6_sharding": op6_sharding,
         "op7_warc": op7_warc,
+        "op8_personal_data": op8_personal_data,
         "op9_bpe": op9_bpe,
         "op10_token_counts": op10_token_counts,
     }
