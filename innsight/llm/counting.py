@@ -58,14 +58,16 @@ def frequent(docs: DataFrame, size: int = TABLE_SIZE, tracked: int = SKETCH_SIZE
     found = docs.select(F.explode(pre_tokens(F.col("text"))).alias("piece")).filter(
         F.length("piece").between(1, CACHED_CHARS)
     )
-    # Sketches of many tasks meet in groups first.
-    sketches = found.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("g")).agg(
-        F.expr(f"approx_top_k_accumulate(piece, {tracked})").alias("s")
+    # Sketches of many tasks meet in a fixed number of groups; what those report is added up.
+    reported = found.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("g")).agg(
+        F.expr(f"approx_top_k(piece, {size}, {tracked})").alias("top")
     )
-    top = sketches.agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s")).select(
-        F.expr(f"approx_top_k_estimate(s, {size})").alias("top")
+    total = (
+        reported.select(F.explode("top").alias("t"))
+        .groupBy(F.col("t.item").alias("piece"))
+        .agg(F.sum("t.count").alias("n"))
     )
-    return [item.item for item in (top.first().top or [])]
+    return [row.piece for row in total.orderBy(F.desc("n"), "piece").limit(size).collect()]
 
 
 def _lengths(pieces: list[str], path: str) -> list[int]:
