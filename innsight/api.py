@@ -28,10 +28,22 @@ class HotelReviews:
         review_id: str | None = None,
     ) -> None:
         self.reviews = reviews
-        self.lexicon = {} if lexicon is None else lexicon
-        self.dictionary = dictionary
+        self._lexicon = lexicon
+        self._dictionary = dictionary
         self.review_id = review_id
 
+    @property
+    def lexicon(self) -> Lexicon:
+        if self._lexicon is None:
+            raise ValueError("this question needs a lexicon")
+        return self._lexicon
+
+    @property
+    def dictionary(self) -> DataFrame:
+        if self._dictionary is None:
+            raise ValueError("this question needs a dictionary of parts of speech")
+        return self._dictionary
+
     @classmethod
     def from_csv(cls, spark: SparkSession, path: str, with_id: bool = False, **given) -> HotelReviews:
         """Read, type and clean raw files. For more than a few questions store
@@ -47,27 +59,40 @@ class HotelReviews:
     def top_hotels(self, city: str | None = None, n: int = 5) -> DataFrame:
         return places.top_hotels_by_city(self.reviews, n, city)
 
-    def favourite_cities(self, nationality: str | None = None, top: int = 10) -> DataFrame:
-        return places.cities_by_reviewer_nationality(self.reviews, top, nationality)
+    def favourite_cities(
+        self, nationality: str | None = None, top: int = 10, exclude_unknown: bool = False
+    ) -> DataFrame:
+        return places.cities_by_reviewer_nationality(self.reviews, top, nationality, exclude_unknown)
 
     def unique_hotels(self) -> DataFrame:
         return places.unique_hotels(self.reviews)
 
-    def distinct_values(self, column: str) -> DataFrame:
-        return places.distinct_values(self.reviews, column)
+    def distinct_values(self, column: str, exclude_unknown: bool | None = None) -> DataFrame:
+        return places.distinct_values(self.reviews, column, exclude_unknown)
+
+    def hotels_of_known_cities(self, centres: DataFrame) -> DataFrame:
+        return places.hotels_of_known_cities(self.reviews, centres)
 
     # Words, tags, lengths
 
-    def word_scores(self, min_frequency: int = words.MIN_COUNT) -> tuple[DataFrame, DataFrame]:
-        """Words of positive texts, best first, and of negative texts, worst first."""
+    def word_scores(
+        self, min_frequency: int = words.MIN_COUNT, n: int | None = None
+    ) -> tuple[DataFrame, DataFrame]:
+        """Words of positive texts, best first, and of negative texts, worst first; the first ``n`` of each."""
         return (
-            words.positive_word_scores(self.reviews, self.dictionary, min_frequency),
-            words.negative_word_scores(self.reviews, self.dictionary, min_frequency),
+            words.positive_word_scores(self.reviews, self.dictionary, min_frequency, n),
+            words.negative_word_scores(self.reviews, self.dictionary, min_frequency, n),
         )
 
     def tag_frequency(self) -> DataFrame:
         return words.tag_frequency(self.reviews)
 
+    def most_used_tags(self, n: int = 10) -> DataFrame:
+        return words.most_used_tags(self.reviews, n)
+
+    def least_used_tags(self, n: int = 10) -> DataFrame:
+        return words.least_used_tags(self.reviews, n)
+
     def tag_influence(self, min_count: int = words.MIN_COUNT) -> DataFrame:
         return words.tag_influence(self.reviews, min_count)
 
@@ -91,16 +116,17 @@ class HotelReviews:
     def sentiment_by_nation(self) -> DataFrame:
         return seasons.sentiment_by_nation(self.reviews, self.lexicon, self.review_id)
 
+    def sentiment_map(self, outlines: DataFrame) -> DataFrame:
+        return seasons.sentiment_map(self.reviews, outlines, self.lexicon, self.review_id)
+
     def classified_sentiment(
         self, hotel: str | None = None, make_model: Callable[[], Scorer] | None = None
     ) -> DataFrame:
         """Labels of a model, or of the lexicon where no model is given."""
-        label = (
-            classified.lexicon_label(self.lexicon)
-            if make_model is None
-            else classified.model_label(make_model)
-        )
-        return classified.hotel_sentiment(self.reviews, label, hotel)
+        if make_model is not None:
+            return classified.hotel_sentiment(self.reviews, classified.model_label(make_model), hotel)
+        labelled = classified.with_lexicon_label(self.reviews, self.lexicon, self.review_id)
+        return classified.hotel_sentiment(*labelled, hotel)
 
     def seasonal_label_stats(
         self, make_model: Callable[[], Scorer], hotel: str | None = None, per_season: int = 1
@@ -136,8 +162,13 @@ class HotelReviews:
     def review_digest(self, hotel: str | None = None, limit: int = digest.REVIEWS_PER_DIGEST) -> DataFrame:
         return digest.review_digest(self.reviews, limit, hotel)
 
-    def summaries(self, make_model: Callable[[], Scorer], hotel: str | None = None) -> DataFrame:
-        return digest.hotel_summaries(self.review_digest(hotel), make_model)
+    def summaries(
+        self,
+        make_model: Callable[[], Scorer],
+        hotel: str | None = None,
+        limit: int = digest.REVIEWS_PER_DIGEST,
+    ) -> DataFrame:
+        return digest.hotel_summaries(self.review_digest(hotel, limit), make_model)
 
     # Data quality
 

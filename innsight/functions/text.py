@@ -62,6 +62,12 @@ def summary_prompt(reviews: Column) -> Column:
     )
 
 
+def label_prompt(review: Column) -> Column:
+    # Fixed value: the instruction to the model.
+    instruction = "Classify the overall sentiment of this hotel review (positive, neutral, or negative):"
+    return F.concat(F.lit(instruction + "\n"), review)
+
+
 def strip_reasoning(output: Column) -> Column:
     """Model output without its ``<think>...</think>`` blocks and outer whitespace."""
     visible = F.regexp_replace(output, r"(?s)<think>.*?</think>", "")

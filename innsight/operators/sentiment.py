@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from innsight.functions.text import combined_review, strip_punctuation, words
 
 NORMALISATION = 15.0  # fixed value
-INLINE_WORDS = 50_000
 
 Lexicon = Mapping[str, float] | DataFrame
 
@@ -39,12 +38,9 @@ def lexicon_score(
 
     The lexicon travels with the plan as a constant: an array of small maps, one
     of which is picked by the word's checksum, so a look-up takes constant time.
+    It is sent with every task; a table is the other form, joined to the words.
     ``finish`` runs inside the fold, on the sum, so the words are walked once.
     """
-    if len(lexicon) > INLINE_WORDS:
-        raise ValueError(
-            f"a mapping may hold {INLINE_WORDS} words at most, pass larger lexicons as a table"
-        )
     # One JSON literal, folded by the optimizer: thousands of single literals
     # would take seconds to hand over to the JVM.
     slots = 1 << max(len(lexicon) // 8, 1).bit_length()
@@ -70,7 +66,8 @@ def with_sentiment(
 
     A lexicon given as a mapping is a projection: no shuffle, no join. A lexicon
     given as a table (``word``, ``valence``) may have any size; it is joined to
-    the words of each review and needs ``id_column``, a unique key of the rows.
+    the words of each review and needs ``id_column``, a unique key of the rows. Words
+    are compared in lower case; of a word that is listed twice the least valence holds.
     """
     tokens = review_words(F.col("Positive_Review"), F.col("Negative_Review"))
     if not isinstance(lexicon, DataFrame):
@@ -80,7 +77,7 @@ def with_sentiment(
     hits = (
         reviews.select(id_column, F.explode(tokens).alias("word"))
         .withColumn("word", strip_punctuation(F.col("word")))
-        .join(lexicon.select("word", "valence"), "word")
+        .join(lexicon.groupBy(F.lower("word").alias("word")).agg(F.min("valence").alias("valence")), "word")
         .groupBy(id_column)
         .agg(F.sum("valence").alias("_total"))
     )

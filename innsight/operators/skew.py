@@ -3,7 +3,8 @@
 A key is *hot* when it has more rows than one task should take (``hot_rows``).
 At most ``rows / hot_rows`` keys can be hot, so the list of hot keys is always
 small enough to broadcast, whatever the data: 10^11 rows at the default give at
-most 20,000 short rows. Where no key is hot, that list is empty and adaptive
+most 20,000 short rows. A caller who lowers ``hot_rows`` takes that bound with it:
+at 1 every repeated key is on the list. Where no key is hot, that list is empty and adaptive
 execution drops the extra branch at run time.
 """
 

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from innsight.functions.bands import label_from_score, sentiment_band, sentiment_sentence
 from innsight.functions.dates import NO_SEASON, season
-from innsight.functions.text import combined_review, is_blank, parse_label
+from innsight.functions.text import combined_review, is_blank, label_prompt, parse_label
 from innsight.operators.scoring import Scorer, score_text
-from innsight.operators.sentiment import compound, lexicon_score, review_words
+from innsight.operators.sentiment import Lexicon, compound, lexicon_score, review_words, with_sentiment
 from innsight.operators.skew import HOT_ROWS, hot_keys, top_n
 from innsight.plans.common import only, sorted_if
 
@@ -32,6 +32,14 @@ def model_label(make_scorer: Callable[[], Scorer]) -> Column:
     return F.when(is_blank(positive) & is_blank(negative), "neutral").otherwise(scored)
 
 
+def with_lexicon_label(reviews: DataFrame, lexicon: Lexicon, id_column: str | None = None) -> tuple[DataFrame, Column]:
+    """Reviews and the label of their lexicon score, for a lexicon of either form."""
+    if not isinstance(lexicon, DataFrame):
+        return reviews, lexicon_label(lexicon)
+    scored = with_sentiment(reviews, lexicon, id_column, out="_sentiment")
+    return scored, label_from_score(F.col("_sentiment"), 0.05)
+
+
 def lexicon_label(lexicon: Mapping[str, float], limit: float = 0.05) -> Column:
     """Label of the lexicon sentiment score, without leaving the JVM."""
     return lexicon_score(
@@ -46,14 +54,17 @@ def hotel_sentiment(reviews: DataFrame, label: Column, hotel: str | None = None)
     )
     said = F.col("_label")
     net = F.col("Positive_Count") - F.col("Negative_Count")
+    counts = {"positive": "Positive_Count", "neutral": "Neutral_Count", "negative": "Negative_Count"}
+    # Counts per address first: a least address over all reviews would have them sorted.
+    per_address = labelled.groupBy("Hotel_Name", "Hotel_Address").agg(
+        F.count(F.lit(1)).alias("Num_Reviews"),
+        *[F.count_if(said == name).alias(column) for name, column in counts.items()],
+    )
     return (
-        labelled.groupBy("Hotel_Name")
+        per_address.groupBy("Hotel_Name")
         .agg(
             F.min("Hotel_Address").alias("Hotel_Address"),
-            F.count(F.lit(1)).alias("Num_Reviews"),
-            F.count_if(said == "positive").alias("Positive_Count"),
-            F.count_if(said == "neutral").alias("Neutral_Count"),
-            F.count_if(said == "negative").alias("Negative_Count"),
+            *[F.sum(column).alias(column) for column in ("Num_Reviews", *counts.values())],
         )
         .withColumn("Average_Sentiment_Score", F.bround(net / F.col("Num_Reviews"), 3))
         .withColumn("Sentiment", sentiment_sentence(F.col("Hotel_Name"), F.col("Average_Sentiment_Score")))
@@ -71,8 +82,10 @@ def seasonal_label_stats(
 ) -> DataFrame:
     """Mean label and score of the first ``per_season`` reviews of each hotel and season.
 
-    The model writes free text, read by
-    :func:`innsight.functions.text.parse_label`. It sees the chosen reviews only.
+    The model is given an instruction with each review
+    (:func:`innsight.functions.text.label_prompt`) and writes free text, read by
+    :func:`innsight.functions.text.parse_label`; no answer counts as 0. It sees the
+    chosen reviews only.
     """
     positive, negative = _parts()
     keys = ["Hotel_Name", "Season"]
@@ -89,7 +102,7 @@ def seasonal_label_stats(
         hot=None if hot_rows is None else hot_keys(dated, keys, hot_rows),
     )
     labelled = chosen.withColumn(
-        "_label", parse_label(score_text(combined_review(positive, negative), make_scorer))
+        "_label", parse_label(score_text(label_prompt(combined_review(positive, negative)), make_scorer))
     )
     stats = labelled.groupBy(*keys).agg(
         F.min("Hotel_Address").alias("Hotel_Address"),

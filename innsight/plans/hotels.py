@@ -89,18 +89,37 @@ def anomalous_reviews(
 
 
 def fact_sheet(reviews: DataFrame, hotel: str | None = None) -> DataFrame:
+    """Counts, scores and place of each hotel.
+
+    The place is that of one of its sites, the least by (lat, lng); a site without
+    both coordinates counts only if there is no other.
+    """
     score = F.col("Reviewer_Score")
-    return (
+    sites = (
         only(reviews, "Hotel_Name", hotel)
-        .groupBy("Hotel_Name")
+        .groupBy("Hotel_Name", "lat", "lng")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.count_if(score >= GOOD_SCORE).alias("_good"),
+            F.count_if(score < GOOD_SCORE).alias("_bad"),
+            F.max(score).alias("_max"),
+            F.min(score).alias("_min"),
+            F.sum(score).alias("_sum"),
+            F.count(score).alias("_scored"),
+        )
+    )
+    place = F.min(F.struct(F.col("lat").isNull() | F.col("lng").isNull(), "lat", "lng"))
+    return (
+        sites.groupBy("Hotel_Name")
         .agg(
-            F.count(F.lit(1)).alias("Total_Reviews"),
-            F.count_if(score >= GOOD_SCORE).alias("Total_Positive_Reviews"),
-            F.count_if(score < GOOD_SCORE).alias("Total_Negative_Reviews"),
-            F.max(score).alias("Max_Reviewer_Score"),
-            F.min(score).alias("Min_Reviewer_Score"),
-            F.avg(score).alias("Avg_Reviewer_Score"),
-            F.min("lat").alias("Latitude"),
-            F.min("lng").alias("Longitude"),
+            F.sum("_n").alias("Total_Reviews"),
+            F.sum("_good").alias("Total_Positive_Reviews"),
+            F.sum("_bad").alias("Total_Negative_Reviews"),
+            F.max("_max").alias("Max_Reviewer_Score"),
+            F.min("_min").alias("Min_Reviewer_Score"),
+            F.try_divide(F.sum("_sum"), F.sum("_scored")).alias("Avg_Reviewer_Score"),
+            place.alias("_place"),
         )
+        .select("*", F.col("_place.lat").alias("Latitude"), F.col("_place.lng").alias("Longitude"))
+        .drop("_place")
     )

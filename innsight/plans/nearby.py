@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from innsight.operators.radius import near_point, pairs_within
@@ -13,36 +13,45 @@ from innsight.plans.places import unique_hotels
 def hotels_near_hotel(
     reviews: DataFrame, radius_km: float = 1.0, hotel: str | None = None
 ) -> DataFrame:
-    """Other hotels within ``radius_km`` of each site of each hotel.
+    """Other hotels within ``radius_km`` of each site (``lat``, ``lng``) of each hotel.
 
     A hotel is never its own neighbour, at any of its sites. A hotel that is
-    not in the table has no rows.
+    not in the table has no rows. Each pair is given from both its ends, so a
+    radius as wide as the data gives all pairs of sites.
     """
     origins = only(unique_hotels(reviews), "Hotel_Name", hotel).select(
         "Hotel_Name", F.col("lat").alias("_lat"), F.col("lng").alias("_lng")
-    )
+    ).distinct()
     others = unique_hotels(reviews).select(
         F.col("Hotel_Name").alias("Nearby_Hotel"), F.col("Hotel_City").alias("Nearby_City"), "lat", "lng"
     )
     pairs = (
         pairs_within(origins, others, radius_km, ("_lat", "_lng"), ("lat", "lng"))
         .filter(F.col("Hotel_Name") != F.col("Nearby_Hotel"))
-        .select("Hotel_Name", "Nearby_Hotel", "Nearby_City", "distanza")
+        .select(
+            "Hotel_Name", F.col("_lat").alias("lat"), F.col("_lng").alias("lng"),
+            "Nearby_Hotel", "Nearby_City", "distanza",
+        )
     )
     return sorted_if(pairs, hotel, "distanza", "Nearby_Hotel")
 
 
-def _mean_by_name(reviews: DataFrame) -> DataFrame:
-    return reviews.groupBy("Hotel_Name").agg(F.avg("Reviewer_Score").alias("Avg_Score"))
+def _sites_with_means(reviews: DataFrame) -> DataFrame:
+    """Each site once, with the mean score of all sites of its name: one pass over the reviews."""
+    sites = reviews.groupBy("Hotel_Name", "Hotel_City", "lat", "lng").agg(
+        F.sum("Reviewer_Score").alias("_sum"), F.count("Reviewer_Score").alias("_n")
+    )
+    name = Window.partitionBy("Hotel_Name")
+    mean = F.try_divide(F.sum("_sum").over(name), F.sum("_n").over(name))
+    return sites.withColumn("Avg_Score", mean).drop("_sum", "_n")
 
 
 def hotels_near_point(
     reviews: DataFrame, lat: float, lng: float, radius_km: float = 500.0
 ) -> DataFrame:
     """Hotel sites within ``radius_km`` of a point, nearest first, with the mean score of the name."""
-    near = near_point(unique_hotels(reviews), lat, lng, radius_km)
     return (
-        near.join(_mean_by_name(reviews), "Hotel_Name", "left")
+        near_point(_sites_with_means(reviews), lat, lng, radius_km)
         .select("Hotel_Name", "Hotel_City", "lat", "lng", "distanza", "Avg_Score")
         .orderBy("distanza", "Hotel_Name")
     )
@@ -53,7 +62,7 @@ def hotels_near_sights(reviews: DataFrame, sights: DataFrame, radius_km: float =
     points = sights.select(
         F.col("nome").alias("poi"), F.col("lat").alias("_lat"), F.col("lng").alias("_lng")
     )
-    near = pairs_within(points, unique_hotels(reviews), radius_km, ("_lat", "_lng"), ("lat", "lng"))
-    return near.join(_mean_by_name(reviews), "Hotel_Name", "left").select(
+    near = pairs_within(points, _sites_with_means(reviews), radius_km, ("_lat", "_lng"), ("lat", "lng"))
+    return near.select(
         "poi", "Hotel_Name", "Hotel_City", "lat", "lng", "distanza", "Avg_Score"
     )

@@ -76,8 +76,13 @@ def unique_hotels(reviews: DataFrame) -> DataFrame:
     return reviews.select("Hotel_Name", "Hotel_City", "lat", "lng").distinct()
 
 
-def distinct_values(reviews: DataFrame, column: str, exclude_unknown: bool = True) -> DataFrame:
-    """Sorted values of a column, for a choice list."""
+def distinct_values(reviews: DataFrame, column: str, exclude_unknown: bool | None = None) -> DataFrame:
+    """Sorted values of a column, for a choice list.
+
+    The imputed nationality is left out of the nationalities unless asked for.
+    """
+    if exclude_unknown is None:
+        exclude_unknown = column == "Reviewer_Nationality"
     values = reviews.select(column).filter(F.col(column).isNotNull()).distinct()
     if exclude_unknown:
         values = values.filter(F.col(column) != IMPUTED["Reviewer_Nationality"])

@@ -29,16 +29,23 @@ def sentiment_by_season(
 def sentiment_by_hotel_season(
     reviews: DataFrame, lexicon: Lexicon, hotel: str | None = None, id_column: str | None = None
 ) -> DataFrame:
-    stats = (
+    # Sums per address first: a least address over all reviews would have them sorted.
+    per_address = (
         _scored(only(reviews, "Hotel_Name", hotel), lexicon, id_column)
-        .groupBy("Season", "Hotel_Name")
+        .groupBy("Season", "Hotel_Name", "Hotel_Address")
         .agg(
-            F.min("Hotel_Address").alias("Hotel_Address"),
-            F.round(F.avg("Sentiment_Score"), 4).alias("Avg_Sentiment_Score"),
-            F.round(F.avg("Reviewer_Score"), 4).alias("Avg_Review_Score"),
-            F.count(F.lit(1)).alias("Num_Reviews"),
+            F.sum("Sentiment_Score").alias("_sentiment"),
+            F.sum("Reviewer_Score").alias("_score"),
+            F.count("Reviewer_Score").alias("_scored"),
+            F.count(F.lit(1)).alias("_n"),
         )
     )
+    stats = per_address.groupBy("Season", "Hotel_Name").agg(
+        F.min("Hotel_Address").alias("Hotel_Address"),
+        F.round(F.sum("_sentiment") / F.sum("_n"), 4).alias("Avg_Sentiment_Score"),
+        F.round(F.try_divide(F.sum("_score"), F.sum("_scored")), 4).alias("Avg_Review_Score"),
+        F.sum("_n").alias("Num_Reviews"),
+    )
     return sorted_if(stats, hotel, "Season")
 
 
@@ -91,10 +98,12 @@ def sentiment_map(
 ) -> DataFrame:
     """Sentiment of each outlined nation (``name``), null where there are no reviews.
 
-    Names are compared without regard to case.
+    Names are compared without regard to case: all spellings of a nation count
+    together, and an outline has one row.
     """
-    by_nation = sentiment_by_nation(reviews, lexicon, id_column).select(
-        F.lower("nation").alias("_name"), F.col("mean_sentiment").alias("sentiment")
+    spelled_alike = reviews.withColumn("Hotel_Nationality", F.lower("Hotel_Nationality"))
+    by_nation = sentiment_by_nation(spelled_alike, lexicon, id_column).select(
+        F.col("nation").alias("_name"), F.col("mean_sentiment").alias("sentiment")
     )
     return (
         outlines.select("name", F.lower("name").alias("_name"))

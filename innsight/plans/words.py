@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innsight.functions.text import strip_punctuation, words
-from innsight.operators.sizes import fits_broadcast
 from innsight.schema import IMPUTED
 
 KINDS = {"positive": "Positive_Review", "negative": "Negative_Review"}
@@ -25,11 +24,10 @@ def word_scores(
 ) -> DataFrame:
     """Mean score and frequency of each adjective and adverb, by kind of text.
 
-    ``dictionary`` has ``word`` and ``pos``. Both kinds come from one pass. A
-    dictionary small enough to broadcast thins the words out before the
-    shuffle; a larger one is joined to the frequent words after it. Words are
-    looked up as they stand between blanks, or without outer punctuation if
-    ``bare_words``.
+    ``dictionary`` has ``word`` and ``pos``. Both kinds come from one pass. Words
+    are summed up first and the frequent ones looked up, so the plan is the same
+    for a dictionary of any size. Words are looked up as they stand between
+    blanks, or without outer punctuation if ``bare_words``.
     """
     wanted = dictionary.filter(F.col("pos").isin(*POS_KEPT)).select("word").distinct()
     columns = [KINDS[kind] for kind in kinds]
@@ -49,18 +47,12 @@ def word_scores(
         found = found.withColumn("word", strip_punctuation(F.col("word")))
     found = found.filter(F.col("word") != "")
 
-    def scored(rows: DataFrame) -> DataFrame:
-        return (
-            rows.groupBy("type", "word")
-            .agg(F.avg("Reviewer_Score").alias("avg_score"), F.count(F.lit(1)).alias("word_count"))
-            .filter(F.col("word_count") >= min_frequency)
-        )
-
-    if fits_broadcast(wanted):
-        return scored(found.join(F.broadcast(wanted), "word", "left_semi"))
-    return scored(found).join(wanted, "word", "left_semi").select(
-        "type", "word", "avg_score", "word_count"
+    scores = (
+        found.groupBy("type", "word")
+        .agg(F.avg("Reviewer_Score").alias("avg_score"), F.count(F.lit(1)).alias("word_count"))
+        .filter(F.col("word_count") >= min_frequency)
     )
+    return scores.join(wanted, "word", "left_semi").select("type", "word", "avg_score", "word_count")
 
 
 def _first(df: DataFrame, order: list[Column], n: int | None) -> DataFrame:
@@ -112,43 +104,69 @@ def tag_influence(reviews: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
 def review_length_extremes(reviews: DataFrame, by: str | None = None) -> DataFrame:
     """Longest and shortest positive and negative review, over all or per ``by``.
 
-    All four come from one aggregate over one pass. Among texts of equal length
-    the least (hotel, city, score, text) is taken.
+    Among texts of equal length the least (hotel, city, score, text) is taken.
+    Over all, the four come from one aggregate over one pass. Per ``by``, the
+    extreme lengths are found first, as numbers, and ties are broken among the
+    texts of those lengths alone, so that no task sorts all its texts.
     """
     # Names of the two kinds of text.
     named = {"positiva": "Positive_Review", "negativa": "Negative_Review"}
+    fields = ["Hotel_Name", "Hotel_City", "Reviewer_Score"]
+    if by is None:
+        return _extremes_of_all(reviews, named, fields)
+    kind = F.when(F.col("_column") == named["positiva"], "positiva").otherwise("negativa")
+    columns = list(named.values())
+    texts = (
+        reviews.select(F.col(by).alias(f"by_{by}"), *fields, *columns)
+        .unpivot([f"by_{by}", *fields], columns, "_column", "review_text")
+        .filter(F.col("review_text").isNotNull())
+        .withColumn("type", kind)
+        .withColumn("length", F.length("review_text"))
+    )
+    keys = [f"by_{by}", "type"]
+    bounds = (
+        texts.groupBy(*keys)
+        .agg(F.max("length").alias("_long"), F.min("length").alias("_short"))
+        .select(
+            F.col(keys[0]).alias("_by"),
+            F.col("type").alias("_type"),
+            F.explode(
+                F.array(
+                    F.struct(F.lit("long").alias("which"), F.col("_long").alias("at")),
+                    F.struct(F.lit("short").alias("which"), F.col("_short").alias("at")),
+                )
+            ).alias("_bound"),
+        )
+    )
+    near = texts.join(
+        bounds,
+        F.col(keys[0]).eqNullSafe(F.col("_by"))
+        & (F.col("type") == F.col("_type"))
+        & (F.col("length") == F.col("_bound.at")),
+    )
+    least = F.min(F.struct(*fields, "review_text")).alias("_row")
+    return (
+        near.groupBy(*keys, F.col("_bound.which").alias("_which"), "length")
+        .agg(least)
+        .select(keys[0], "_row.review_text", "_row.Reviewer_Score", "_row.Hotel_Name", "_row.Hotel_City", "type", "length")
+    )
+
+
+def _extremes_of_all(reviews: DataFrame, named: dict[str, str], fields: list[str]) -> DataFrame:
     extremes, rows = [], []
     for kind, column in named.items():
         size = F.length(column)
         for which, key in (("long", -size), ("short", size)):
             name = f"_{kind}_{which}"
-            extremes.append(
-                F.min(
-                    F.when(
-                        F.col(column).isNotNull(),
-                        F.struct(
-                            key.alias("key"),
-                            F.col("Hotel_Name"),
-                            F.col("Hotel_City"),
-                            F.col("Reviewer_Score"),
-                            F.col(column).alias("review_text"),
-                        ),
-                    )
-                ).alias(name)
-            )
+            row = F.struct(key.alias("key"), *fields, F.col(column).alias("review_text"))
+            extremes.append(F.min(F.when(F.col(column).isNotNull(), row)).alias(name))
             rows.append(
                 F.struct(
                     F.col(f"{name}.review_text").alias("review_text"),
-                    F.col(f"{name}.Reviewer_Score").alias("Reviewer_Score"),
-                    F.col(f"{name}.Hotel_Name").alias("Hotel_Name"),
-                    F.col(f"{name}.Hotel_City").alias("Hotel_City"),
+                    *[F.col(f"{name}.{field}").alias(field) for field in ("Reviewer_Score", "Hotel_Name", "Hotel_City")],
                     F.lit(kind).alias("type"),
                     F.abs(F.col(f"{name}.key")).alias("length"),
                 )
             )
-    keys = [] if by is None else [F.col(by).alias("_by")]
-    found = reviews.groupBy(*keys).agg(*extremes)
-    kept = [] if by is None else [F.col("_by").alias(f"by_{by}")]
-    return found.select(*kept, F.explode(F.array(*rows)).alias("_row")).select(
-        *[f"by_{by}"] * (by is not None), "_row.*"
-    ).filter(F.col("length").isNotNull())
+    found = reviews.agg(*extremes)
+    return found.select(F.explode(F.array(*rows)).alias("_row")).select("_row.*").filter(F.col("length").isNotNull())

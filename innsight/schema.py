@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The columns of the raw files.
 RAW_COLUMNS = [
     "Hotel_Address",
     "Additional_Number_of_Scoring",
@@ -40,7 +41,7 @@ INT_COLUMNS = [
 
 DOUBLE_COLUMNS = ["Average_Score", "Reviewer_Score", "lat", "lng"]
 
-# A row with a null in any of these is dropped by the cleaning step.
+# A row with a null in any of these is dropped by the cleaning step.
 REQUIRED_COLUMNS = [
     "Additional_Number_of_Scoring",
     "Review_Date",

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innsight.schema import RAW
+from innsight.schema import RAW_COLUMNS
 
 
 def read_raw(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """All CSV files under ``path`` with a header line, every column as a string."""
-    reader = spark.read.schema(RAW).option("header", True).option("encoding", "UTF-8")
-    return reader.option("mode", "PERMISSIVE").options(**options).csv(path)
+    """All CSV files under ``path`` with a header line, every column as a string.
+
+    Columns are found by their names; others are left out, a missing one is an
+    error. All files must have their columns in one order, else reading fails.
+    """
+    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", False)
+    return reader.option("mode", "PERMISSIVE").options(**options).csv(path).select(*RAW_COLUMNS)
 
 
 def write_clean(reviews: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -18,7 +22,9 @@ def write_clean(reviews: DataFrame, path: str, mode: str = "errorifexists") -> N
 
     The rebalance hint lets adaptive execution split a nation that holds much of
     the data over several files. Rows of a file are sorted by hotel, so a filter
-    on a hotel skips row groups by their statistics.
+    on a hotel skips row groups by their statistics. Files get the session's
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` before compression; raise it
+    (to 1g, say) for very large tables, so that they don't end in many small files.
     """
     (
         reviews.hint("rebalance", "Hotel_Nationality")

@@ -166,12 +166,12 @@ def test_sentiment_against_brute_force(spark, texts):
     assert joined == {r.review_id: r.Sentiment_Score for r in rows_}
 
 
-def test_sentiment_limits(spark, texts):
+def test_lexicon_table_needs_a_key_and_a_mapping_has_no_limit(spark, texts):
     with pytest.raises(ValueError):
         with_sentiment(texts, views.lexicon(spark))
-    with pytest.raises(ValueError):
-        lexicon_score(F.array(F.lit("a")), {str(i): 1.0 for i in range(50_001)})
-    assert with_sentiment(texts, {}).filter("Sentiment_Score <> 0").count() == 0
+    many = {f"word{k}": 1.0 for k in range(60_000)} | views.LEXICON
+    some = texts.limit(5)
+    assert rows(with_sentiment(some, many)) == rows(with_sentiment(some, views.LEXICON))
 
 
 def test_season_counts_add_up(texts):
@@ -243,3 +243,26 @@ def test_cities_under_either_name(spark, reviews):
     )
     found = places.hotels_of_known_cities(reviews, centres).collect()
     assert {(row.city, row.Hotel_City) for row in found} == {("Citta", reviews.first().Hotel_City)}
+
+
+def test_place_of_a_chain_is_one_of_its_sites(spark):
+    rows = [("h", 7.0, 45.0, 9.0), ("h", 5.0, 41.0, 12.0), ("h", 6.0, None, 1.0), ("g", 4.0, None, None)]
+    found = {r.Hotel_Name: r for r in hotels.fact_sheet(
+        spark.createDataFrame(rows, "Hotel_Name string, Reviewer_Score double, lat double, lng double")
+    ).collect()}
+    assert (found["h"].Latitude, found["h"].Longitude, found["h"].Avg_Reviewer_Score) == (41.0, 12.0, 6.0)
+    assert (found["h"].Total_Reviews, found["h"].Total_Positive_Reviews, found["h"].Total_Negative_Reviews) == (3, 2, 1)
+    assert (found["g"].Latitude, found["g"].Longitude) == (None, None)
+
+
+def test_map_has_one_row_per_outline(spark, texts):
+    spelled = texts.withColumn("Hotel_Nationality", F.when(F.col("review_id") % 2 == 0, "ITALY").otherwise("Italy"))
+    outlines = spark.sql("select 'Italy' as name union all select 'France'")
+    found = {r.name: r.sentiment for r in seasons.sentiment_map(spelled, outlines, views.LEXICON).collect()}
+    whole = seasons.sentiment_by_nation(texts.withColumn("Hotel_Nationality", F.lit("x")), views.LEXICON).first()
+    assert found == {"Italy": whole.mean_sentiment, "France": None}
+
+
+def test_model_is_told_what_to_do(texts):
+    untold = classified.seasonal_label_stats(texts, toy_model(CHAT_OUTPUT, "Another instruction"), order=("review_id",))
+    assert {r.Avg_Sentiment_Score for r in untold.collect()} == {0.0}

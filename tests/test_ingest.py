@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from innsight.plans import ingest, quality
 from innsight.schema import CLEAN, RAW, RAW_COLUMNS
@@ -148,3 +149,33 @@ def test_profiles(spark):
     assert info["Tags"] == "array<string>" and info["Review_Date"] == "date"
     assert quality.rows_with_blanks(df).count() == 2
     assert quality.rows_with_blanks(ingest.typed(raw(spark, {}))).count() == 0
+
+
+def _write(path, name, columns, rows):
+    import csv
+
+    path.mkdir(exist_ok=True)
+    with open(path / name, "w", newline="") as file:
+        writer = csv.writer(file)
+        writer.writerow(columns)
+        writer.writerows([[row.get(c, "") for c in columns] for row in rows])
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    row = {name: f"{name} value" for name in RAW_COLUMNS}
+    _write(tmp_path / "plain", "a.csv", RAW_COLUMNS, [row])
+    _write(tmp_path / "other", "a.csv", [*RAW_COLUMNS[::-1], "extra"], [row])
+    plain, other = (source.read_raw(spark, str(tmp_path / p)) for p in ("plain", "other"))
+    assert plain.columns == other.columns == RAW_COLUMNS
+    assert plain.collect() == other.collect() == [tuple(row.values())]
+    _write(tmp_path / "short", "a.csv", RAW_COLUMNS[1:], [row])
+    with pytest.raises(AnalysisException):
+        source.read_raw(spark, str(tmp_path / "short")).collect()
+
+
+def test_files_of_two_orders_never_mix_columns(spark, tmp_path):
+    row = {name: f"{name} value" for name in RAW_COLUMNS}
+    _write(tmp_path / "mixed", "a.csv", RAW_COLUMNS, [row])
+    _write(tmp_path / "mixed", "b.csv", RAW_COLUMNS[::-1], [row])
+    with pytest.raises(Exception, match="(?i)header"):
+        source.read_raw(spark, str(tmp_path / "mixed")).collect()

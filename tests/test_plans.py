@@ -5,7 +5,7 @@ import re
 import pytest
 
 from innsight.operators.sentiment import with_sentiment
-from innsight.plans import hotels, nearby, places, words
+from innsight.plans import classified, hotels, nearby, places, seasons, words
 from workload import views
 from workload.queries import queries
 
@@ -36,7 +36,8 @@ def test_no_python_rows_and_no_nested_loops(spark, name):
     text = plan(queries()[name](spark, SF_DIR))
     assert "BatchEvalPython" not in text
     assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text
-    models = ("classified_sentiment_model", "seasonal_label_stats", "hotel_summaries")
+    models = ("classified_sentiment_model", "seasonal_label_stats", "seasonal_label_stats_hot", "hotel_summaries")
+    assert "REPARTITION_BY_NUM" not in text
     assert ("ArrowEvalPython" in text) == (name in models)
 
 
@@ -57,8 +58,8 @@ def test_filters_and_columns_reach_the_scan(stored):
     assert "PushedFilters: [IsNotNull(Hotel_Name), EqualTo(Hotel_Name,Supplier#000000001)]" in plan(one)
     assert read_columns(one) == [{"Hotel_Name", "Reviewer_Score", "lat", "lng"}]
     assert read_columns(words.tag_frequency(stored)) == [{"Tags"}]
-    point = plan(nearby.hotels_near_point(stored, 45.0, 9.0, 10.0))
-    assert "GreaterThanOrEqual(lat" in point and "LessThanOrEqual(lng" in point
+    near = nearby.hotels_near_point(stored, 45.0, 9.0, 10.0)
+    assert read_columns(near) == [{"Hotel_Name", "Hotel_City", "lat", "lng", "Reviewer_Score"}]
 
 
 def test_sentiment_of_a_row_needs_no_shuffle(stored):
@@ -70,6 +71,36 @@ def test_extremes_take_one_pass_without_windows(stored):
     assert text.split("== Initial Plan ==")[0].count("FileScan") == 1 and "Window" not in text
 
 
+def below_first_aggregate(df):
+    """Nodes between the scan and the aggregate above it, bottom up."""
+    lines = plan(df).split("== Initial Plan ==")[-1].splitlines()
+    scans = [k for k, line in enumerate(lines) if "FileScan" in line]
+    found = []
+    for k in reversed(range(scans[-1])):
+        found.append(lines[k])
+        if "Aggregate" in lines[k]:
+            break
+    return found
+
+
+def test_reviews_are_not_sorted_to_be_aggregated(spark):
+    texts = views.text_reviews(spark, SF_DIR)
+    for df in (
+        words.review_length_extremes(texts, by="Hotel_Name"),
+        seasons.sentiment_by_hotel_season(texts, views.LEXICON),
+        classified.hotel_sentiment(texts, classified.lexicon_label(views.LEXICON)),
+    ):
+        below = below_first_aggregate(df)
+        assert "HashAggregate" in below[-1] and not any("Sort" in line for line in below)
+
+
+def test_one_pass_near_a_point(stored):
+    sights = stored.sparkSession.sql("select 'x' as nome, 45D as lat, 9D as lng")
+    for df in (nearby.hotels_near_point(stored, 45.0, 9.0, 3000.0), nearby.hotels_near_sights(stored, sights, 3000.0)):
+        assert df.collect()
+        assert plan(df).split("== Initial Plan ==")[0].count("FileScan") == 1
+
+
 def test_whole_table_answers_are_not_sorted(stored):
     for df in (hotels.anomalous_reviews(stored), hotels.monthly_trend(stored), nearby.hotels_near_hotel(stored)):
         assert "rangepartitioning" not in plan(df)

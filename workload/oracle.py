@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import string
 
-from innsight.schema import CLEAN, REQUIRED_COLUMNS
+from innsight.sources.places import POINTS_OF_INTEREST
 from workload import views
 from workload.queries import (
     CHAT_OUTPUT,
+    FIXED_SIGHT_RADIUS_KM,
     PAIR_RADIUS_KM,
     POINT,
     POINT_RADIUS_KM,
@@ -20,12 +21,41 @@ from workload.queries import (
     WORD_MIN,
 )
 
+# Written out, so that a wrong list in the library shows.
+CLEAN = {
+    "Hotel_Address": "string",
+    "Additional_Number_of_Scoring": "int",
+    "Review_Date": "date",
+    "Average_Score": "double",
+    "Hotel_Name": "string",
+    "Reviewer_Nationality": "string",
+    "Negative_Review": "string",
+    "Review_Total_Negative_Word_Counts": "int",
+    "Total_Number_of_Reviews": "int",
+    "Positive_Review": "string",
+    "Review_Total_Positive_Word_Counts": "int",
+    "Total_Number_of_Reviews_Reviewer_Has_Given": "int",
+    "Reviewer_Score": "double",
+    "Tags": "array<string>",
+    "days_since_review": "int",
+    "lat": "double",
+    "lng": "double",
+    "Hotel_Nationality": "string",
+    "Hotel_City": "string",
+}
+PRESENT = """Additional_Number_of_Scoring is not null and Review_Date is not null and Average_Score is not null
+  and Hotel_Name is not null and Review_Total_Negative_Word_Counts is not null and Total_Number_of_Reviews is not null
+  and Review_Total_Positive_Word_Counts is not null and Total_Number_of_Reviews_Reviewer_Has_Given is not null
+  and Reviewer_Score is not null and Tags is not null and days_since_review is not null
+  and lat is not null and lng is not null"""
+
 REVIEWS = """
 reviews as (
-  select s.s_name as Hotel_Name, sn.n_name as Hotel_City, r.r_name as Hotel_Nationality,
+  select case when s.s_suppkey % 5 = 0 then concat('Chain ', s.s_suppkey // 10) else s.s_name end as Hotel_Name,
+    sn.n_name as Hotel_City, r.r_name as Hotel_Nationality,
     40e0 + sn.n_nationkey/2e0 + ((s.s_suppkey*37) % 64 - 32)/1024e0 as lat,
     5e0 + sn.n_nationkey/4e0 + ((s.s_suppkey*53) % 64 - 32)/1024e0 as lng,
-    cn.n_name as Reviewer_Nationality, cast(l.l_shipdate as date) as Review_Date,
+    case when o.o_custkey % 9 = 4 then 'Unknown' else cn.n_name end as Reviewer_Nationality, cast(l.l_shipdate as date) as Review_Date,
     10e0 - l.l_quantity*l.l_quantity/256e0 as Reviewer_Score,
     8e0 + (s.s_suppkey % 16)/16e0 as Average_Score,
     concat('flag ', lower(l.l_returnflag), ' and status ', lower(l.l_linestatus)) as Positive_Review,
@@ -43,7 +73,7 @@ split_texts as (
 ),
 texts as (
   select doc_id as review_id, source as Hotel_Name, 'City of ' || lang as Hotel_City,
-    lang as Hotel_Nationality, '1 Text Street ' || source as Hotel_Address,
+    case when doc_id % 3 = 0 then upper(lang[1]) || lower(lang[2:]) else lang end as Hotel_Nationality, '1 Text Street ' || source as Hotel_Address,
     date '2015-01-01' + cast(doc_id % 1096 as integer) as Review_Date,
     1e0 + (n_chars % 145)/16e0 as Reviewer_Score,
     doc_id % 40 + 1 as activity,
@@ -119,7 +149,12 @@ def _label_counts(label: str) -> str:
       from net"""
 
 
-def _word_scores(kind: str, strip: bool = False, exclude: bool = False) -> str:
+_KNOWN = "select word from lexicon where pos in ('a', 'r')"
+_OF_BENCHMARK = """select word from (select unnest(regexp_split_to_array(lower(text), '\\s+')) as word from benchmark) b
+      where word <> '' and length(word) % 2 = 0"""
+
+
+def _word_scores(kind: str, strip: bool = False, exclude: bool = False, known: str = _KNOWN) -> str:
     column = f"{kind.capitalize()}_Review"
     word = "unnest(regexp_split_to_array(" + column + ", '\\s+'))"
     if strip:
@@ -127,7 +162,7 @@ def _word_scores(kind: str, strip: bool = False, exclude: bool = False) -> str:
     where = f"where {column} not in ('No positive comment', 'No negative comment')" if exclude else ""
     return f"""select '{kind}' as type, word, {_six('avg(Reviewer_Score)')} as avg_score, count(*) as word_count
       from (select Reviewer_Score, {word} as word from texts {where}) t
-      where word in (select word from lexicon where pos in ('a', 'r'))
+      where word in ({known})
       group by word having count(*) >= {WORD_MIN}"""
 
 
@@ -222,15 +257,14 @@ typed as (
 
 def _flat(source: str, replaced: dict[str, str]) -> str:
     shown = []
-    for field in CLEAN.fields:
-        name = field.name
+    for name, kind in CLEAN.items():
         if name in replaced:
             shown.append(f"{replaced[name]} as {name}")
         elif name == "Tags":
             shown.append("array_to_string(Tags, '|') as Tags")
         elif name == "Review_Date":
             shown.append("cast(Review_Date as varchar) as Review_Date")
-        elif field.dataType.typeName() == "double":
+        elif kind == "double":
             shown.append(f"{_six(name)} as {name}")
         else:
             shown.append(name)
@@ -239,8 +273,7 @@ def _flat(source: str, replaced: dict[str, str]) -> str:
 
 def _profile(blanks: bool, shown: str) -> str:
     parts = []
-    for field in CLEAN.fields:
-        name, kind = field.name, field.dataType.simpleString()
+    for name, kind in CLEAN.items():
         filled = f"{name} is not null"
         if blanks and kind == "string":
             filled += f" and trim({name}, ' ') <> ''"
@@ -253,15 +286,14 @@ def _profile(blanks: bool, shown: str) -> str:
 
 def _blank_rows() -> str:
     tests = []
-    for field in CLEAN.fields:
-        tests.append(f"{field.name} is null")
-        if field.dataType.simpleString() == "string":
-            tests.append(f"trim({field.name}, ' ') = ''")
+    for name, kind in CLEAN.items():
+        tests.append(f"{name} is null")
+        if kind == "string":
+            tests.append(f"trim({name}, ' ') = ''")
     return f"with {TYPED} " + _flat("typed", {}) + " where " + " or ".join(tests)
 
 
 def _clean() -> str:
-    present = " and ".join(f"{name} is not null" for name in [*REQUIRED_COLUMNS, "lat", "lng"])
     tidied = {
         name: f"coalesce(nullif(lower(trim({name}, ' ')), ''), '{default}')"
         for name, default in (
@@ -270,7 +302,7 @@ def _clean() -> str:
             ("Reviewer_Nationality", "Unknown"),
         )
     }
-    return f"with {TYPED}, kept as (select distinct * from typed where {present}) " + _flat("kept", tidied)
+    return f"with {TYPED}, kept as (select distinct * from typed where {PRESENT}) " + _flat("kept", tidied)
 
 
 _TAGS = f"with {REVIEWS}, tagged as (select unnest(Tags) as word, Reviewer_Score from reviews)"
@@ -292,7 +324,15 @@ def oracle_sql() -> dict[str, str]:
         for sign, said in CHAT_OUTPUT.items()
     ) + " end"
     lat, lng = POINT
-    return {
+    sights = ", ".join(f"('{n.replace(chr(39), chr(39) * 2)}', {a}e0, {o}e0)" for _, n, a, o in POINTS_OF_INTEREST)
+    seasonal = f"""with {SCORED},
+          chosen as (select *, {parsed} as label from scored
+            qualify row_number() over (partition by Hotel_Name, Season order by Review_Date, review_id) <= 5)
+          select Hotel_Name, min(Hotel_Address) as Hotel_Address, Season,
+            round(avg(label), 4) as Avg_Sentiment_Score, round(avg(Reviewer_Score), 4) as Avg_Review_Score,
+            count(*) as Num_Reviews
+          from chosen group by Hotel_Name, Season"""
+    found = {
         "city_overview": f"""with {REVIEWS}
           select Hotel_City, count(*) as Total_Reviews, count(distinct Hotel_Name) as Number_Hotel,
             round(avg(Average_Score), 2) as Average_Score,
@@ -355,14 +395,15 @@ def oracle_sql() -> dict[str, str]:
             count(*) filter (Reviewer_Score < 6) as Total_Negative_Reviews,
             {_six('max(Reviewer_Score)')} as Max_Reviewer_Score, {_six('min(Reviewer_Score)')} as Min_Reviewer_Score,
             {_six('avg(Reviewer_Score)')} as Avg_Reviewer_Score,
-            {_six('min(lat)')} as Latitude, {_six('min(lng)')} as Longitude
+            {_six('min((lat, lng))[1]')} as Latitude, {_six('min((lat, lng))[2]')} as Longitude
           from reviews group by Hotel_Name""",
         "hotels_near_hotel": f"""with {REVIEWS}, {_SITES},
           pairs as (
-            select a.Hotel_Name, b.Hotel_Name as Nearby_Hotel, b.Hotel_City as Nearby_City,
+            select a.Hotel_Name, a.lat, a.lng, b.Hotel_Name as Nearby_Hotel, b.Hotel_City as Nearby_City,
               {_km('a.lat', 'a.lng', 'b.lat', 'b.lng')} as distanza
             from sites a, sites b where a.Hotel_Name <> b.Hotel_Name)
-          select Hotel_Name, Nearby_Hotel, Nearby_City, {_six('distanza')} as distanza
+          select Hotel_Name, {_six('lat')} as lat, {_six('lng')} as lng, Nearby_Hotel, Nearby_City,
+            {_six('distanza')} as distanza
           from pairs where distanza <= {PAIR_RADIUS_KM}e0""",
         "hotels_near_point": f"""with {REVIEWS}, {_SITES}, {_MEANS},
           near as (select *, {_km('lat', 'lng', f'{lat}e0', f'{lng}e0')} as distanza from sites)
@@ -378,6 +419,15 @@ def oracle_sql() -> dict[str, str]:
             {_six('distanza')} as distanza, {_six('m')} as Avg_Score
           from near left join means using (Hotel_Name) where distanza <= {SIGHT_RADIUS_KM}e0""",
         "word_scores": f"with {TEXTS}, {LEXICON} {_word_scores('positive')} union all {_word_scores('negative')}",
+        "word_scores_benchmark": f"""with {TEXTS} {_word_scores('positive', known=_OF_BENCHMARK)}
+          union all {_word_scores('negative', known=_OF_BENCHMARK)}""",
+        "hotels_near_fixed_sights": f"""with {REVIEWS}, {_SITES}, {_MEANS},
+          near as (
+            select poi, sites.*, {_km('lat', 'lng', 'plat', 'plng')} as distanza
+            from sites, (values {sights}) v(poi, plat, plng))
+          select poi, Hotel_Name, Hotel_City, {_six('lat')} as lat, {_six('lng')} as lng,
+            {_six('distanza')} as distanza, {_six('m')} as Avg_Score
+          from near left join means using (Hotel_Name) where distanza <= {FIXED_SIGHT_RADIUS_KM}e0""",
         "word_scores_positive": f"""with {TEXTS}, {LEXICON}, w as ({_word_scores('positive')})
           select word, avg_score, word_count from w""",
         "word_scores_negative": f"""with {TEXTS}, {LEXICON}, w as ({_word_scores('negative')})
@@ -415,23 +465,18 @@ def oracle_sql() -> dict[str, str]:
           n as (select Hotel_Nationality as nation, round(avg(score), 3) as mean_sentiment from scored group by all)
           select *, {bins.format('mean_sentiment')} as bin from n""",
         "sentiment_map": f"""with {SCORED},
-          n as (select Hotel_Nationality as nation, round(avg(score), 3) as sentiment from scored group by all),
+          n as (select lower(Hotel_Nationality) as nation, round(avg(score), 3) as sentiment from scored group by 1),
           outlines as (select distinct upper(lang) as name from documents union all select r_name from region)
           select name, sentiment, {bins.format('sentiment')} as bin
-          from outlines left join n on lower(name) = lower(nation)""",
+          from outlines left join n on lower(name) = nation""",
         "classified_sentiment": _label_counts(
             "case when score >= 0.05 then 'positive' when score <= -0.05 then 'negative' else 'neutral' end"
         ),
         "classified_sentiment_model": _label_counts(
             "case when total > 0 then 'positive' when total < 0 then 'negative' else 'neutral' end"
         ),
-        "seasonal_label_stats": f"""with {SCORED},
-          chosen as (select *, {parsed} as label from scored
-            qualify row_number() over (partition by Hotel_Name, Season order by Review_Date, review_id) <= 5)
-          select Hotel_Name, min(Hotel_Address) as Hotel_Address, Season,
-            round(avg(label), 4) as Avg_Sentiment_Score, round(avg(Reviewer_Score), 4) as Avg_Review_Score,
-            count(*) as Num_Reviews
-          from chosen group by Hotel_Name, Season""",
+        "seasonal_label_stats": seasonal,
+        "seasonal_label_stats_hot": seasonal,
         "review_digest": f"""with {TEXTS},
           two_sided as (select * from texts
             where lower(Positive_Review) not in ('no positive', 'no positive comment')
@@ -458,3 +503,14 @@ def oracle_sql() -> dict[str, str]:
         "table_info": _profile(False, '"column", type, non_null'),
         "rows_with_blanks": _blank_rows(),
     }
+    one = {
+        "hotel_fact_sheet_one": ("hotel_fact_sheet", "Hotel_Name", views.ONE_HOTEL),
+        "top_hotels_one_city": ("top_hotels_by_city", "Hotel_City", views.ONE_CITY),
+        "cities_one_nationality": ("cities_by_reviewer_nationality", "Reviewer_Nationality", views.ONE_CITY),
+        "sentiment_one_nation": ("sentiment_by_nation_season", "Hotel_Nationality", views.ONE_NATION),
+    }
+    for name, (question, column, value) in one.items():
+        found[name] = f"select * from ({found[question]}) everything where {column} = '{value}'"
+    for question in ("anomalous_reviews", "review_digest"):
+        found[f"{question}_hot"] = found[question]
+    return found

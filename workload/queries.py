@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import string
 from collections.abc import Callable
 
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 
 from innsight.functions.text import strip_reasoning
 from innsight.plans import classified, digest, hotels, ingest, nearby, places, quality, seasons, words
+from innsight.sources.places import points_of_interest
 from workload import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,7 @@ POINT = (45.4477479, 9.1835306)
 POINT_RADIUS_KM = 300.0
 PAIR_RADIUS_KM = 5.0
 SIGHT_RADIUS_KM = 4.0
+FIXED_SIGHT_RADIUS_KM = 150.0
 WORD_MIN = 100
 TAG_MIN = 500
 
@@ -43,17 +44,20 @@ def comparable(df: DataFrame) -> DataFrame:
     )
 
 
-def toy_model(labels: dict[float, str]) -> Callable[[], Callable[[pd.Series], pd.Series]]:
-    """A stand-in for a classifier: the sign of the lexicon total picks its output."""
-    lexicon, split, marks = dict(views.LEXICON), re.compile(r"[ \t\n\x0b\f\r]+"), string.punctuation
+def toy_model(labels: dict[float, str], instruction: str = "") -> Callable[[], Callable[[pd.Series], pd.Series]]:
+    """A stand-in for a classifier: the sign of the lexicon total picks its output.
 
-    def make():
-        def total(text):
-            return sum(lexicon.get(word.strip(marks), 0.0) for word in split.split(text.lower()))
+    With ``instruction``, it answers nothing to a text that does not begin with it.
+    """
+    lexicon, marks = dict(views.LEXICON), string.punctuation
 
+    def make():
         def score(texts):
-            totals = texts.map(total)
-            return totals.map(lambda s: labels[(s > 0) - (s < 0)])
+            texts = texts.reset_index(drop=True)
+            asked = texts.str.startswith(instruction)
+            words = texts.str[len(instruction) :].str.lower().str.split(r"[ \t\n\x0b\f\r]+", regex=True).explode()
+            totals = words.str.strip(marks).map(lexicon).fillna(0.0).groupby(level=0).sum()
+            return totals.gt(0).astype(int).sub(totals.lt(0).astype(int)).map(labels).where(asked, None)
 
         return score
 
@@ -73,6 +77,7 @@ def toy_summariser():
     return make
 
 
+INSTRUCTION = "Classify the overall sentiment of this hotel review (positive, neutral, or negative):\n"
 CLASSIFIER_OUTPUT = {1: "positive", 0: "neutral", -1: "negative"}
 CHAT_OUTPUT = {
     1: "The sentiment is Positive, not negative.",
@@ -124,6 +129,13 @@ def queries() -> dict[str, Query]:
         "cities_by_reviewer_nationality": _of_reviews(
             places.cities_by_reviewer_nationality, "Reviewer_Nationality", "Hotel_City", "Reviewer_Score"
         ),
+        "top_hotels_one_city": _of_reviews(
+            lambda df: places.top_hotels_by_city(df, city=views.ONE_CITY), "Hotel_Nationality", "Hotel_City", *_HOTEL
+        ),
+        "cities_one_nationality": _of_reviews(
+            lambda df: places.cities_by_reviewer_nationality(df, nationality=views.ONE_CITY),
+            "Reviewer_Nationality", "Hotel_City", "Reviewer_Score",
+        ),
         "unique_hotels": _of_reviews(places.unique_hotels, *_SITE),
         "reviewer_nationalities": _of_reviews(
             lambda df: places.distinct_values(df, "Reviewer_Nationality"), "Reviewer_Nationality"
@@ -143,6 +155,13 @@ def queries() -> dict[str, Query]:
         "anomalous_reviews": _of_reviews(
             hotels.anomalous_reviews, *_HOTEL, "Review_Date", "Positive_Review", "Negative_Review"
         ),
+        "anomalous_reviews_hot": _of_reviews(
+            lambda df: hotels.anomalous_reviews(df, hot_rows=400),
+            *_HOTEL, "Review_Date", "Positive_Review", "Negative_Review",
+        ),
+        "hotel_fact_sheet_one": _of_reviews(
+            lambda df: hotels.fact_sheet(df, views.ONE_HOTEL), *_HOTEL, "lat", "lng"
+        ),
         "hotel_fact_sheet": _of_reviews(hotels.fact_sheet, *_HOTEL, "lat", "lng"),
         # Distances
         "hotels_near_hotel": _of_reviews(
@@ -158,7 +177,17 @@ def queries() -> dict[str, Query]:
                 SIGHT_RADIUS_KM,
             )
         ),
+        "hotels_near_fixed_sights": lambda spark, sf_dir: comparable(
+            nearby.hotels_near_sights(
+                views.reviews(spark, sf_dir, *_SITE, "Reviewer_Score"), points_of_interest(spark), FIXED_SIGHT_RADIUS_KM
+            )
+        ),
         # Words, tags, lengths
+        "word_scores_benchmark": lambda spark, sf_dir: comparable(
+            words.word_scores(
+                views.text_reviews(spark, sf_dir), views.benchmark_dictionary(spark, sf_dir), WORD_MIN
+            )
+        ),
         "word_scores": _word_query(words.word_scores),
         "word_scores_positive": _word_query(words.positive_word_scores),
         "word_scores_negative": _word_query(words.negative_word_scores),
@@ -177,7 +206,7 @@ def queries() -> dict[str, Query]:
         "sentiment_by_season": _of_texts(lambda df: seasons.sentiment_by_season(df, lexicon)),
         "sentiment_by_season_lexicon_table": lambda spark, sf_dir: comparable(
             seasons.sentiment_by_season(
-                views.text_reviews(spark, sf_dir), views.lexicon(spark), id_column="review_id"
+                views.text_reviews(spark, sf_dir), views.untidy_lexicon(spark), id_column="review_id"
             )
         ),
         "sentiment_by_hotel_season": _of_texts(
@@ -186,6 +215,9 @@ def queries() -> dict[str, Query]:
         "sentiment_by_nation_season": _of_texts(
             lambda df: seasons.sentiment_by_nation_season(df, lexicon)
         ),
+        "sentiment_one_nation": _of_texts(
+            lambda df: seasons.sentiment_by_nation_season(df, lexicon, views.ONE_NATION)
+        ),
         "best_worst_season_by_nation": _of_texts(
             lambda df: seasons.best_and_worst_season(df, lexicon)
         ),
@@ -206,13 +238,23 @@ def queries() -> dict[str, Query]:
         "seasonal_label_stats": _of_texts(
             lambda df: classified.seasonal_label_stats(
                 df,
-                toy_model(CHAT_OUTPUT),
+                toy_model(CHAT_OUTPUT, INSTRUCTION),
+                per_season=5,
+                order=("Review_Date", "review_id"),
+            )
+        ),
+        "seasonal_label_stats_hot": _of_texts(
+            lambda df: classified.seasonal_label_stats(
+                df,
+                toy_model(CHAT_OUTPUT, INSTRUCTION),
                 per_season=5,
                 order=("Review_Date", "review_id"),
+                hot_rows=1,
             )
         ),
         # Digests
         "review_digest": _of_texts(digest.review_digest),
+        "review_digest_hot": _of_texts(lambda df: digest.review_digest(df, hot_rows=9)),
         "hotel_summaries": _of_texts(
             lambda df: digest.hotel_summaries(digest.review_digest(df), toy_summariser())
         ),

@@ -15,39 +15,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from innsight.functions.text import or_default, parse_tags, tidy
-from innsight.operators.sizes import estimated_bytes
 from innsight.schema import IMPUTED
 
+#: A hotel chain, a city and a nation of the derived tables, for the questions about one.
+ONE_HOTEL, ONE_CITY, ONE_NATION = "Chain 0", "NATION_7", "en"
 LEXICON = {"and": 1.5, "that": -0.5, "with": 2.0, "the": -0.25, "was": -2.0, "from": 0.75}
 PARTS_OF_SPEECH = {"and": "r", "that": "a", "with": "a", "the": "n", "was": "v", "from": "r"}
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:  # the footer is read once, not for every query
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
-
-
-SMALL_BYTES = 256 << 20
-
-
-def _spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal a small table out to all cores before costly work on its rows.
-
-    A small file is one row group and would be one task. A large table has
-    plenty of row groups and is left as it is.
-    """
-    size = estimated_bytes(df)
-    if size is None or size > SMALL_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
@@ -57,8 +36,16 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return spark.sql(f"select * from values {rows} as lexicon(word, valence, pos)")
 
 
+def untidy_lexicon(spark: SparkSession) -> DataFrame:
+    """The lexicon with a word listed twice and one in capitals."""
+    known = lexicon(spark)
+    again = known.filter("word = 'that'").unionByName(known.filter("word = 'with'").withColumn("word", F.upper("word")))
+    return known.filter("word <> 'with'").unionByName(again)
+
+
 _OF_HOTEL = {
-    "Hotel_Name": "s_name",
+    # Two suppliers in ten are the two sites of a chain.
+    "Hotel_Name": "if(s_suppkey % 5 = 0, concat('Chain ', s_suppkey div 10), s_name)",
     "Hotel_City": "hn_name",
     "Hotel_Nationality": "r_name",
     "Hotel_Address": "concat(cast(s_suppkey as string), ' Main Street ', hn_name, ' ', r_name)",
@@ -73,7 +60,7 @@ _OF_REVIEW = {
     "Negative_Review": "concat('line ', l_linenumber, ' of order ', l_orderkey)",
 }
 _OF_ORDER = {"Total_Number_of_Reviews_Reviewer_Has_Given": "cast(o_custkey % 40 + 1 as int)"}
-_OF_REVIEWER = {"Reviewer_Nationality": "rn_name"}
+_OF_REVIEWER = {"Reviewer_Nationality": "if(o_custkey % 9 = 4, 'Unknown', rn_name)"}
 _OF_ORDER_AND_PART = {
     "Tags": "concat('['' ', o_orderpriority, ' '', '' ', p_type, ' '', '' ', l_returnflag, ' '']')"
 }
@@ -84,8 +71,6 @@ def _join_dimensions(spark: SparkSession, sf_dir: str, wanted: set[str]) -> Data
         return table(spark, sf_dir, name)
 
     star = table_of("lineitem")
-    if wanted & _OF_ORDER_AND_PART.keys():
-        star = _spread(star, "l_orderkey", "l_linenumber")
     if wanted & _OF_HOTEL.keys():
         hotels = table_of("supplier").drop("s_acctbal")
         if wanted & {"Hotel_City", "Hotel_Nationality", "Hotel_Address"}:
@@ -117,7 +102,7 @@ def reviews(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _spread(table(spark, sf_dir, "documents"), "doc_id")
+    documents = table(spark, sf_dir, "documents")
     end = F.instr("text", "\n")
     whole = F.col("text")
     positive = F.when(end > 0, F.substr(whole, F.lit(1), end - 1)).otherwise(whole)
@@ -126,7 +111,8 @@ def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("review_id"),
         F.col("source").alias("Hotel_Name"),
         F.concat(F.lit("City of "), F.col("lang")).alias("Hotel_City"),
-        F.col("lang").alias("Hotel_Nationality"),
+        # The same nation in two spellings.
+        F.when(F.col("doc_id") % 3 == 0, F.initcap("lang")).otherwise(F.col("lang")).alias("Hotel_Nationality"),
         F.concat(F.lit("1 Text Street "), F.col("source")).alias("Hotel_Address"),
         F.date_add(F.lit("2015-01-01").cast("date"), (F.col("doc_id") % 1096).cast("int")).alias("Review_Date"),
         F.expr("1D + (n_chars % 145) / 16D").alias("Reviewer_Score"),
@@ -176,6 +162,18 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_twice.select(*[F.expr(sql).alias(name) for name, sql in strings.items()])
 
 
+def benchmark_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each word of the benchmark once, as an adverb if its length is even, else a noun."""
+    word = F.explode(F.split(F.lower("text"), r"\s+")).alias("word")
+    return (
+        table(spark, sf_dir, "benchmark")
+        .select(word)
+        .filter(F.col("word") != "")
+        .distinct()
+        .withColumn("pos", F.when(F.length("word") % 2 == 0, "r").otherwise("n"))
+    )
+
+
 def sights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sight per nation, in the middle of its hotels."""
     return table(spark, sf_dir, "nation").selectExpr(
