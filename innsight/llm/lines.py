@@ -22,6 +22,10 @@ ERROR = 1.04 / (1 << LOG_K) ** 0.5
 SURE = 6
 
 
+#: Pieces that the occurrences of a line are dealt in where they meet what is known of the line.
+SALTS = 16
+
+
 def split_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
@@ -43,6 +47,13 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
+def _meet(lines: DataFrame, known: DataFrame) -> DataFrame:
+    """Join lines to a table of few lines, one row each, which is repeated for each piece of a common line."""
+    dealt = lines.withColumn("salt", F.pmod(F.xxhash64("id", "place"), F.lit(SALTS)))
+    repeated = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return dealt.join(repeated, ["h1", "h2", "salt"])
+
+
 def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
     """Hashes (h1, h2) of the lines found on ``min_sites`` sites or more, and where each comes first."""
     lines = _lines(docs, min_chars)
@@ -58,7 +69,7 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MI
     spread = cut(spread.filter(F.col("sites") > 1))
     near = spread.filter(F.col("sites") <= min_sites + margin)
     exact = (
-        lines.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi")
+        _meet(lines, near.select("h1", "h2"))
         .groupBy("h1", "h2")
         .agg(F.count_distinct("site").alias("counted"))
     )
@@ -81,8 +92,7 @@ def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars:
     """
     shared = boilerplate(docs, min_sites, min_chars)
     removed = (
-        _lines(docs, min_chars)
-        .join(shared, ["h1", "h2"])
+        _meet(_lines(docs, min_chars), shared)
         .filter(F.struct("id", "text_hash", "place") != F.col("first"))
         .groupBy("id", "text_hash")
         .agg(F.sort_array(F.collect_set("place")).alias("removed"))
