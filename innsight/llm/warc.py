@@ -27,6 +27,8 @@ MIN_SHARED_BYTES = 100
 #: Compressed bytes after which a package is closed, and records that a task reads at a time.
 PACKAGE_BYTES = 32 << 20
 LEVEL = 4
+#: Bytes of packages that a task reads records of, about.
+RANGE_BYTES = 16 << 20
 #: Pages carry no time of capture.
 CAPTURED = "1970-01-01T00:00:00Z"
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -213,13 +215,17 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read(packages: DataFrame) -> DataFrame:
-    """The records of packages (uri), with the fields of ``READ``.
+    """The records of packages (uri, bytes), with the fields of ``READ``.
 
     Directories and indexes are read first; the ranges are then dealt out anew, so
-    that one large package is read by many tasks.
+    that one large package is read by many tasks. Their number follows the bytes to
+    be read, which the few bytes of the ranges themselves don't show.
     """
+    total = packages.agg(F.sum("bytes")).first()[0] or 0
     ranges = packages.select("uri").mapInArrow(_ranges, INDEXED)
-    dealt = ranges.repartition("uri", F.floor(F.col("at") / (4 << 20))).sortWithinPartitions("uri", "at")
+    dealt = ranges.repartition(
+        1 + total // RANGE_BYTES, "uri", F.floor(F.col("at") / (RANGE_BYTES // 16))
+    ).sortWithinPartitions("uri", "at")
     return dealt.mapInArrow(_records, READ)
 
 
