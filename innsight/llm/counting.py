@@ -21,7 +21,7 @@ SKETCH_SIZE = 65_536
 SKETCH_GROUPS = 64
 #: Longer pre-tokens are encoded but neither broadcast nor cached.
 CACHED_CHARS = 64
-CACHED = 400_000
+CACHED = 250_000
 
 _MODELS: dict[str, object] = {}
 _CACHES: dict[str, list[dict[str, int]]] = {}
