@@ -269,6 +269,14 @@ def _searcher(sent, similarity: float, tables: int):
     return make
 
 
+def _searches(docs: DataFrame, benchmark: DataFrame, similarity: float, min_words: int):
+    """Per block of items a function of the text column that gives what is found of them."""
+    for items in _blocks(benchmark, min_words):
+        tables = tables_needed([symbols(sequence) for _, sequence in items], similarity)
+        sent = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, items))
+        yield per_text(_searcher(sent, similarity, tables), RESULT)
+
+
 def contaminations(
     docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS
 ) -> DataFrame:
@@ -280,11 +288,8 @@ def contaminations(
     are skipped, an empty benchmark gives no rows. Of rows that repeat a doc_id the
     best match of an item counts; other columns are ignored.
     """
-    spark, found = docs.sparkSession, None
-    for items in _blocks(benchmark, min_words):
-        tables = tables_needed([symbols(sequence) for _, sequence in items], similarity)
-        sent = spark.sparkContext.broadcast((uuid.uuid4().hex, items))
-        search = per_text(_searcher(sent, similarity, tables), RESULT)
+    found = None
+    for search in _searches(docs, benchmark, similarity, min_words):
         hits = docs.select("doc_id", F.explode(search(F.col("text"))).alias("hit"))
         found = hits if found is None else found.unionByName(hits)
     if found is None:
@@ -295,7 +300,13 @@ def contaminations(
     )
 
 
-def keep(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, with all their columns."""
-    bad = contaminations(docs, benchmark, **options).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+def keep(
+    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS
+) -> DataFrame:
+    """The rows of ``docs`` in whose text no item is found, with all their columns.
+
+    Each row is judged by its own text, so nothing is joined or shuffled.
+    """
+    for search in _searches(docs, benchmark, similarity, min_words):
+        docs = docs.filter(F.size(search(docs["text"])) == 0)
+    return docs
