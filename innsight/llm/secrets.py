@@ -123,8 +123,8 @@ def p_value(token: Column) -> Column:
     def of(s: Column) -> Column:
         k = F.length(s["alphabet"]).cast("double")
         codes = F.transform(
-            F.sequence(F.lit(1), F.length(s["token"])),
-            lambda i: F.call_function("instr", s["alphabet"], F.substr(s["token"], i, F.lit(1))).cast("double"),
+            F.split(s["token"], "", -1),
+            lambda symbol: F.call_function("instr", s["alphabet"], symbol).cast("double"),
         )
         return F.when(s["alphabet"].isNotNull(), _bound(F.struct(k.alias("k"), codes.alias("codes")), _battery))
 
