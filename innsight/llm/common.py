@@ -61,6 +61,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, made longer until no column of the DataFrame has them."""
+    taken, out = {column.lower() for column in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def per_text(make: Callable[[], Callable[[str | None], object]], returns: str) -> Callable[[Column], Column]:
     """A Spark function of one text column, run in Arrow batches.
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innsight.llm.common import cut
+from innsight.llm.common import cut, unused
 
 MIN_SITES = 5
 #: Shorter lines are left alone: they recur by chance.
@@ -80,6 +80,24 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MI
     )
 
 
+def _marked(docs: DataFrame, removed: str, min_sites: int, min_chars: int) -> DataFrame:
+    """``docs`` with the places of lines taken out in a new column ``removed``; ``text`` loses those lines."""
+    own_id, own_hash = unused(docs, "id_of_removed", "hash_of_removed")
+    found = (
+        _meet(_lines(docs, min_chars), boilerplate(docs, min_sites, min_chars))
+        .filter(F.struct("id", "text_hash", "place") != F.col("first"))
+        .groupBy(F.col("id").alias(own_id), F.col("text_hash").alias(own_hash))
+        .agg(F.sort_array(F.collect_set("place")).alias(removed))
+    )
+    joined = docs.join(
+        found, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash)), "left"
+    ).drop(own_id, own_hash)
+    left = F.array_join(
+        F.filter(split_lines(F.col("text")), lambda line, place: ~F.array_contains(F.col(removed), place)), "\n"
+    )
+    return joined.withColumn("text", F.when(F.col(removed).isNull(), F.col("text")).otherwise(left))
+
+
 def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
     """All rows and columns of ``docs`` (doc_id, text, source among them) with ``removed``, the places of
     lines taken out (from 0, null if none); ``text`` loses those lines.
@@ -88,25 +106,9 @@ def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_chars:
     boilerplate line the first occurrence stays, by (doc_id, hash of the text,
     place), a null id first; rows that repeat both id and text are treated alike.
     A null source is a site of its own, a null text has one empty line and
-    stays null.
+    stays null. A column ``removed`` of ``docs`` is replaced.
     """
-    shared = boilerplate(docs, min_sites, min_chars)
-    removed = (
-        _meet(_lines(docs, min_chars), shared)
-        .filter(F.struct("id", "text_hash", "place") != F.col("first"))
-        .groupBy("id", "text_hash")
-        .agg(F.sort_array(F.collect_set("place")).alias("removed"))
-        .select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed"))
-    )
-    joined = docs.join(
-        removed, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left"
-    )
-    left = F.array_join(
-        F.filter(split_lines(F.col("text")), lambda line, place: ~F.array_contains(F.col("_removed"), place)), "\n"
-    )
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(left)
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return joined.select(*columns, F.col("_removed").alias("removed"))
+    return _marked(docs.drop("removed"), "removed", min_sites, min_chars)
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
@@ -122,13 +124,21 @@ def report(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def keep(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` without boilerplate lines; a text that had words and has none left goes."""
-    had_words, columns = F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), docs.columns
-    found = without_boilerplate(docs, **options).filter(F.col("removed").isNull() | had_words).select(*columns)
-    if "n_chars" in columns:
-        found = found.withColumn("n_chars", F.length("text").cast("long"))
-    return found.select(*columns)
+def keep(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The rows of ``docs`` without boilerplate lines, with all their columns.
+
+    A text that had words and has none left goes. ``n_chars``, where there is such
+    a column, follows a text that lost lines. Other columns stay, whatever their names.
+    """
+    (removed,) = unused(docs, "removed")
+    found = _marked(docs, removed, min_sites, min_chars).filter(
+        F.col(removed).isNull() | F.col("text").rlike(r"[^ \t\n\x0B\f\r]")
+    )
+    if "n_chars" in docs.columns:
+        own = docs.schema["n_chars"].dataType
+        changed = F.when(F.col(removed).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(own))
+        found = found.withColumn("n_chars", changed)
+    return found.drop(removed)
 
 
 #: DuckDB: the same report by exact counts. One statement over ``documents``.

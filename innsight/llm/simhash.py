@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innsight.llm.common import cut, per_text
+from innsight.llm.common import cut, per_text, unused
 
 BITS = 64
 WORDS = 3
@@ -154,8 +154,9 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def _placed(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, hash of the text, fp, and the least (doc_id, hash) of its component."""
+def _placed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, fp); (fp, root) of each fingerprint; (root, best), the least
+    (doc_id, text_hash) of each component, null if no row of it has an id."""
     prints = cut(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), fingerprint(F.col("text")).alias("fp")))
     named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))
     nodes = prints.groupBy("fp").agg(F.min(named).alias("least"))
@@ -163,8 +164,7 @@ def _placed(docs: DataFrame) -> DataFrame:
     placed = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    best = placed.groupBy("root").agg(F.min("least").alias("best"))
-    return prints.join(placed.join(best, "root").select("fp", "best"), "fp")
+    return prints, placed.select("fp", "root"), placed.groupBy("root").agg(F.min("least").alias("best"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -176,7 +176,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     keeps a null id and takes part in the joining, and a component of such rows
     alone has a null component_id.
     """
-    return _placed(docs).select(
+    prints, placed, best = _placed(docs)
+    return prints.join(placed.join(best, "root"), "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("best.doc_id").alias("component_id"),
@@ -189,11 +190,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of rows that repeat both, any one stays. Rows without id can't be told apart
     by a name and all stay.
     """
-    kept = (
-        _placed(docs)
-        .filter(F.struct("doc_id", "text_hash") == F.col("best"))
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-        .distinct()
-    )
-    rows = docs.join(kept, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_semi")
-    return rows.dropDuplicates(["doc_id"]).unionByName(docs.filter(F.col("doc_id").isNull()))
+    own_id, own_hash = unused(docs, "id_of_kept", "hash_of_kept")
+    best = _placed(docs)[2].filter("best is not null")
+    kept = best.select(F.col("best.doc_id").alias(own_id), F.col("best.text_hash").alias(own_hash))
+    rows = docs.join(kept, (F.col("doc_id") == F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash)))
+    # Texts that share an id may stand for different components: the hash tells them apart.
+    return rows.dropDuplicates([own_id, own_hash]).drop(own_id, own_hash).unionByName(docs.filter("doc_id is null"))

@@ -1,5 +1,8 @@
 """Every operator on rows of nulls, empty and long texts, repeated rows, and on no rows at all."""
 
+import random
+import string
+
 import pytest
 
 from innsight.llm import (
@@ -57,3 +60,31 @@ def test_pages(spark):
         ("6", 5, "response", None), ("7", 400_000, "response", None),
     ])
     assert warc.round_trip(pages.limit(0), f"{shared_dir(spark)}/no-pages").count() == 0
+
+
+def test_filters_keep_columns_of_their_own_names(spark):
+    names = "doc_id long, text string, source string, n_chars int, removed string, id_of_kept int, ID_OF_REMOVED int, `a.b` int"
+    shared = "a line that every site has\n"
+    rows = [(n, f"{shared}own words {'abcdefgh'[n] * 9} of number {n}", f"s{n}", 99, "r", n, n, n) for n in range(6)]
+    docs = spark.createDataFrame([*rows, rows[5]], names)
+    left = lines.keep(docs)
+    assert left.schema == docs.schema
+    first, *others = sorted(left.collect())
+    assert first == rows[0] and all(r.text == rows[r.doc_id][1].removeprefix(shared) for r in others)
+    assert len(others) == 6 and all(r.n_chars == len(r.text) and r.removed == "r" for r in others)
+    kept = simhash.keep_one(docs)
+    assert kept.schema == docs.schema and kept.count() == docs.distinct().count()
+
+
+def test_texts_that_share_an_id_stand_for_their_own_components(spark):
+    rows = [(1, "alpha beta gamma delta epsilon"), (1, "quite another text of other words"), (2, "alpha beta gamma delta epsilon")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(simhash.keep_one(docs).collect()) == rows[:2]
+
+
+def test_a_very_long_key(spark):
+    """Symbols are looked up one after the other, not each from the front of the text."""
+    rng = random.Random(3)
+    blob = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(1_000_000))
+    (row,) = secrets.scan(spark.createDataFrame([(1, f"see {blob} there")], "doc_id long, text string")).collect()
+    assert (row.n_random, row.spans) == (1, "random:4:1000004")
