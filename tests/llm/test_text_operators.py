@@ -44,6 +44,16 @@ def test_encoding_is_the_librarys(encoder, texts):
         assert library.decode(ids, skip_special_tokens=False) == text
 
 
+def test_every_character_is_split_as_by_the_library(encoder):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary("byte_bpe_50k.json")).pre_tokenizer
+    characters = [chr(n) for n in range(0x110000) if not 0xD800 <= n < 0xE000]
+    for k in range(0, len(characters), 20_000):
+        text = "".join(f"a{c}1{c}!{c} " for c in characters[k : k + 20_000])
+        assert encoder.split(text) == [text[a:b] for _, (a, b) in library.pre_tokenize_str(text)]
+
+
 def test_transducer_keeps_little(encoder):
     rng, transducer, most = random.Random(5), bpe.Transducer(encoder.merges), 0
     for _ in range(400):
