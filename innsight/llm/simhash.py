@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from innsight.llm import shingles
 from innsight.llm.common import cut, per_text, unused
 
 BITS = 64
@@ -185,14 +186,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component, with all its columns: the least by (doc_id, hash of the text).
+    """One row of each component of near copies, with all its columns: the least by (doc_id, hash of the text).
 
-    Of rows that repeat both, any one stays. Rows without id can't be told apart
-    by a name and all stay.
+    Texts are near copies if their sets of five-word shingles have a similarity of
+    0.8 or more (``shingles``; the fingerprints above have settings of their own).
+    No two rows with ids that stay are near copies, but for pairs that share no band.
+    Of rows that repeat id and text, any one stays. Rows without id can't be told
+    apart by a name and all stay.
     """
+    signed = cut(shingles.signatures(docs))
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    nodes = cut(
+        signed.groupBy("node").agg(F.min(rank).alias("rank"), F.max("size").alias("size"), F.min("keys").alias("keys"))
+    )
+    roots = components(shingles.links(docs, nodes)).withColumnRenamed("node", "joined")
+    placed = nodes.join(roots, nodes.node == roots.joined, "left")
+    best = placed.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("rank").alias("best"))
     own_id, own_hash = unused(docs, "id_of_kept", "hash_of_kept")
-    best = _placed(docs)[2].filter("best is not null")
-    kept = best.select(F.col("best.doc_id").alias(own_id), F.col("best.text_hash").alias(own_hash))
+    kept = best.filter("not best.unnamed").select(
+        F.col("best.doc_id").alias(own_id), F.col("best.text_hash").alias(own_hash)
+    )
     rows = docs.join(kept, (F.col("doc_id") == F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash)))
     # Texts that share an id may stand for different components: the hash tells them apart.
     return rows.dropDuplicates([own_id, own_hash]).drop(own_id, own_hash).unionByName(docs.filter("doc_id is null"))
