@@ -34,7 +34,10 @@ WALKS = 8
 BITS = 2
 TARGET_RECALL = 0.99
 MIX = 0x2545F4914F6CDD1D
-#: Pairs that the number of tables is measured on, and words of items that are sent out at a time.
+MOST_TABLES = 1024
+#: Items of so many words or more are verified without keys, which take as long to read.
+LONG_WORDS = 1024
+#: Pairs of a length class that its number of tables is measured on, at least, and words of items that are sent out at a time.
 TRIALS = 400
 BLOCK_WORDS = 500_000
 
@@ -69,10 +72,18 @@ def walk(sequence: list[int], steps: int, seed: int) -> list[int]:
     return out
 
 
+def length_class(n: int) -> int:
+    """Lengths of one class differ by less than a half."""
+    return 2 * n.bit_length() + (n >> max(0, n.bit_length() - 2) & 1)
+
+
 class Sampler:
-    """Keys of a sequence in the first ``tables`` tables; equal for equal sequences."""
+    """Keys of a sequence in the first tables, as many as its length class has; equal for equal sequences.
 
-    def __init__(self, tables: int, bits: int = BITS, walks: int = WALKS):
+    A class of no tables has no keys, and all its sequences meet.
+    """
+
+    def __init__(self, tables: dict[int, int], bits: int = BITS, walks: int = WALKS):
         self.tables, self.bits, self.walks = tables, bits, walks
         self._samples: dict[int, list[tuple[int, list[int]]]] = {}
 
@@ -82,16 +93,22 @@ class Sampler:
             # The end of a walk is mostly past the sequence; samples come from the part before.
             rng = random.Random(n)
             self._samples[n] = [
-                (table % self.walks, [rng.randrange(2 * n) for _ in range(self.bits)]) for table in range(self.tables)
+                (table % self.walks, [rng.randrange(2 * n) for _ in range(self.bits)])
+                for table in range(self.tables[length_class(n)])
             ]
         return self._samples[n]
 
     def keys(self, sequence: list[int], n: int) -> list[tuple[int, ...]]:
-        read = [walk(sequence, 2 * n, w) for w in range(min(self.walks, self.tables))]
+        read = [walk(sequence, 2 * n, w) for w in range(min(self.walks, self.tables[length_class(n)]))]
         return [tuple([read[w][step] for step in steps]) for w, steps in self.samples(n)]
 
+    def first(self, a: list, b: list) -> int | None:
+        """The first table in which the keys meet."""
+        none = (-1,) * self.bits
+        return next((k for k, (x, y) in enumerate(zip(a, b, strict=True)) if x == y and x != none), None)
+
     def meet(self, a: list, b: list) -> bool:
-        return any(x == y and x != (-1,) * self.bits for x, y in zip(a, b, strict=True))
+        return not a or self.first(a, b) is not None
 
 
 def edited(sequence: list[int], edits: int, rng: random.Random) -> list[int]:
@@ -107,21 +124,31 @@ def edited(sequence: list[int], edits: int, rng: random.Random) -> list[int]:
     return out
 
 
-def tables_needed(items: list[list[int]], similarity: float, target: float = TARGET_RECALL) -> int:
-    """The power of two of tables that reach the target on items with as many random edits as are allowed."""
-    rng = random.Random(7)
-    pairs = []
-    for k in range(TRIALS if items else 0):
-        item = items[k % len(items)]
-        pairs.append((item, edited(item, allowed(len(item), similarity), rng)))
-    tables = 8
-    while tables < 1024:
-        sampler = Sampler(tables)
-        met = sum(sampler.meet(sampler.keys(a, len(a)), sampler.keys(b, len(a))) for a, b in pairs)
-        if met >= target * len(pairs):
-            break
-        tables *= 2
-    return tables
+def tables_needed(items: list[list[int]], similarity: float, target: float = TARGET_RECALL) -> dict[int, int]:
+    """Per length class of the items the power of two of tables that reach the target on random edits.
+
+    Each item gets as many edits as are allowed, once, or more often in a class of
+    under ``TRIALS`` items. A class that ``MOST_TABLES`` don't bring to the target, or
+    of ``LONG_WORDS`` or more, has no tables: all its windows are verified.
+    """
+    classes: dict[int, list[list[int]]] = {}
+    for item in items:
+        classes.setdefault(length_class(len(item)), []).append(item)
+    needed = {}
+    for kind, own in sorted(classes.items()):
+        if kind >= length_class(LONG_WORDS):
+            needed[kind] = 0
+            continue
+        rng, sampler, firsts = random.Random(7), Sampler({kind: MOST_TABLES}), []
+        trials = max(TRIALS, len(own))
+        for k in range(trials):
+            item = own[k % len(own)]
+            other = edited(item, allowed(len(item), similarity), rng)
+            found = sampler.first(sampler.keys(item, len(item)), sampler.keys(other, len(item)))
+            firsts.append(MOST_TABLES if found is None else found)
+        last = sorted(firsts)[ceil(target * trials) - 1]
+        needed[kind] = 0 if last >= MOST_TABLES else max(8, 1 << last.bit_length())
+    return needed
 
 
 def best_end(pattern: list[int], text: list[int]) -> tuple[int, int]:
@@ -153,7 +180,7 @@ def best_end(pattern: list[int], text: list[int]) -> tuple[int, int]:
 class Index:
     """One block of items: the runs that place windows, and the items' keys."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], similarity: float, tables: int):
+    def __init__(self, items: list[tuple[int, list[str]]], similarity: float, tables: dict[int, int]):
         self.similarity, self.sampler = similarity, Sampler(tables)
         self.number: dict[str, int] = {}
         self.items, self.keys, self.runs = [], [], {}
@@ -258,7 +285,7 @@ def _blocks(benchmark: DataFrame, min_words: int) -> Iterator[list[tuple[int, li
 _INDEX: dict[str, Index] = {}
 
 
-def _searcher(sent, similarity: float, tables: int):
+def _searcher(sent, similarity: float, tables: dict[int, int]):
     def make():
         name, items = sent.value
         if name not in _INDEX:
