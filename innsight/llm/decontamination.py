@@ -312,7 +312,7 @@ def contaminations(
     ``docs`` (doc_id, text) is read once for each block of items (item_id, text);
     a block is sent to all tasks and holds ``BLOCK_WORDS`` words and one item more
     at most. Null and empty texts match nothing, items under ``min_words`` words
-    are skipped, an empty benchmark gives no rows. Of rows that repeat a doc_id the
+    and items without id are skipped, an empty benchmark gives no rows. Of rows that repeat a doc_id the
     best match of an item counts; other columns are ignored.
     """
     found = None
@@ -332,8 +332,10 @@ def keep(
 ) -> DataFrame:
     """The rows of ``docs`` in whose text no item is found, with all their columns.
 
-    Each row is judged by its own text, so nothing is joined or shuffled.
+    Each row is judged by its own text, so nothing is joined or shuffled. An item
+    needs no id here, its text is enough.
     """
-    for search in _searches(docs, benchmark, similarity, min_words):
+    texts = benchmark.select(F.lit(0).cast("long").alias("item_id"), "text")
+    for search in _searches(docs, texts, similarity, min_words):
         docs = docs.filter(F.size(search(docs["text"])) == 0)
     return docs

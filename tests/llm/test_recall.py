@@ -36,3 +36,12 @@ def test_classes_out_of_reach_are_verified_without_keys(monkeypatch):
     text = " ".join(["before", *map(str, decontamination.edited(item, 50, rng)), "after"])
     ((item_id, n, distance, *_),) = index.search(text)
     assert (item_id, n) == (5, 300) and distance <= 50
+
+
+def test_keep_needs_no_item_id(spark):
+    docs = spark.createDataFrame([(1, "so the quick brown fox jumps over it"), (2, "all else")], "doc_id long, text string")
+    items = spark.createDataFrame(
+        [(None, "the quick brown fox jumps"), (None, "quick brown fox jumps over")], "item_id long, text string"
+    )
+    assert [r.doc_id for r in decontamination.keep(docs, items).collect()] == [2]
+    assert decontamination.contaminations(docs, items).count() == 0
