@@ -190,9 +190,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Texts are near copies if their sets of five-word shingles have a similarity of
     0.8 or more (``shingles``; the fingerprints above have settings of their own).
-    No two rows with ids that stay are near copies, but for pairs that share no band.
-    Of rows that repeat id and text, any one stays. Rows without id can't be told
-    apart by a name and all stay.
+    No two rows that stay are near copies, but for pairs that share no band.
+    Rows without id come after all others. Of rows that repeat id and text, or have
+    no id and one text, any one stays.
     """
     signed = cut(shingles.signatures(docs))
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
@@ -202,10 +202,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     roots = components(shingles.links(docs, nodes)).withColumnRenamed("node", "joined")
     placed = nodes.join(roots, nodes.node == roots.joined, "left")
     best = placed.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("rank").alias("best"))
-    own_id, own_hash = unused(docs, "id_of_kept", "hash_of_kept")
-    kept = best.filter("not best.unnamed").select(
-        F.col("best.doc_id").alias(own_id), F.col("best.text_hash").alias(own_hash)
-    )
-    rows = docs.join(kept, (F.col("doc_id") == F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash)))
+    (own,) = unused(docs, "own_of_kept")
+    kept = best.select(F.struct("best.doc_id", "best.text_hash").alias(own))
     # Texts that share an id may stand for different components: the hash tells them apart.
-    return rows.dropDuplicates([own_id, own_hash]).drop(own_id, own_hash).unionByName(docs.filter("doc_id is null"))
+    # Copies go before the join, so those without id are no hot key. A struct of null equals another.
+    rows = docs.withColumn(own, F.struct("doc_id", F.xxhash64("text").alias("text_hash"))).dropDuplicates([own])
+    return rows.join(kept, own, "left_semi").drop(own)

@@ -67,3 +67,11 @@ def test_near_copies_of_the_given_documents(spark):
     close = [(a, b) for a, b in itertools.combinations(sets, 2) if _alike(sets[a], sets[b])]
     assert any(sets[a] != sets[b] for a, b in close)
     assert {r.doc_id for r in simhash.keep_one(docs).collect()} == set(_components(close, sets).values())
+
+
+def test_copies_without_id(spark):
+    text, other = "one two three four five six", "words of another text that has no name"
+    docs = spark.createDataFrame([(None, text), (1, text), (None, other), (None, other), (None, None)], "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(docs).collect()), key=str) == sorted(
+        [(1, text), (None, other), (None, None)], key=str
+    )
