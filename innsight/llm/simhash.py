@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innsight.llm import shingles
 from innsight.llm.common import cut, per_text, unused
 
 BITS = 64
@@ -128,9 +127,9 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b); the root is the least node it is joined to.
 
-    Large-star and small-star steps in turn until nothing changes. A node's
-    neighbours are reduced to their least one before they are joined to it, so a
-    node of many neighbours is no group in one task. Each round is checkpointed.
+    Large-star and small-star steps in turn until nothing changes. A node's least
+    neighbour comes from an aggregate and meets its edges in a plain join, whose
+    crowded side adaptive execution splits. Each round is checkpointed.
     """
     edges = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = None
@@ -186,22 +185,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component of near copies, with all its columns: the least by (doc_id, hash of the text).
+    """One row of each component, with all its columns: the least by (doc_id, hash of the text).
 
-    Texts are near copies if their sets of five-word shingles have a similarity of
-    0.8 or more (``shingles``; the fingerprints above have settings of their own).
-    No two rows that stay are near copies, but for pairs that share no band.
-    Rows without id come after all others. Of rows that repeat id and text, or have
-    no id and one text, any one stays.
+    Components are those of ``near_duplicates``: fingerprints equal or joined by
+    steps of two bits at most; null texts and texts without words form one. Rows
+    without id come after all others. Of rows that repeat id and text, or have no
+    id and one text, any one stays.
     """
-    signed = cut(shingles.signatures(docs))
+    prints = cut(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), fingerprint(F.col("text")).alias("fp")))
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
-    nodes = cut(
-        signed.groupBy("node").agg(F.min(rank).alias("rank"), F.max("size").alias("size"), F.min("keys").alias("keys"))
-    )
-    roots = components(shingles.links(docs, nodes)).withColumnRenamed("node", "joined")
-    placed = nodes.join(roots, nodes.node == roots.joined, "left")
-    best = placed.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("rank").alias("best"))
+    nodes = cut(prints.groupBy("fp").agg(F.min(rank).alias("rank")))
+    roots = components(links(nodes.select("fp")))
+    placed = nodes.join(roots, nodes.fp == roots.node, "left")
+    best = placed.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("rank").alias("best"))
     (own,) = unused(docs, "own_of_kept")
     kept = best.select(F.struct("best.doc_id", "best.text_hash").alias(own))
     # Texts that share an id may stand for different components: the hash tells them apart.

@@ -1,72 +1,6 @@
-"""Near dedup of the pipeline against all pairs of five-word shingle sets."""
+"""One row of each component of near copies stays."""
 
-import itertools
-import random
-
-import pytest
-
-from innsight.llm import shingles, simhash
-from tests.llm.test_corpus_operators import SF_DIR, _components
-
-
-def _set(text):
-    words = (text or "").encode().lower().split()
-    return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
-
-
-def _alike(a, b):
-    return 10 * len(a & b) >= 8 * len(a | b)
-
-
-def _edited(text, words, rng):
-    """The text with so many words replaced, far from each other."""
-    out = text.split()
-    for at in rng.sample(range(0, len(out), 6), words):
-        out[at] = f"x{rng.randrange(10**6)}"
-    return " ".join(out)
-
-
-@pytest.fixture
-def copies(spark):
-    """Ten texts of 150 words, each with 30 copies of up to ten words replaced, some of copies."""
-    rng, rows = random.Random(4), []
-    for _ in range(10):
-        family = [" ".join(f"w{rng.randrange(5000)}" for _ in range(150))]
-        family += [_edited(rng.choice(family[:4]), rng.randint(0, 6), rng) for _ in range(30)]
-        rows += family
-    rng.shuffle(rows)
-    return [(k, t) for k, t in enumerate(rows)]
-
-
-def test_near_copies_by_all_pairs(spark, copies):
-    """Copies at 0.8 differ in up to eleven of 64 bits of a fingerprint and are found nevertheless."""
-    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(copies, "doc_id long, text string")).collect()}
-    sets = [_set(t) for _, t in copies]
-    close = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if _alike(sets[a], sets[b])]
-    assert not [(a, b) for a, b in close if a in kept and b in kept]
-    joined = _components(close, range(len(sets)))
-    assert {joined[k] for k in kept} == set(joined.values()) and set(joined.values()) <= kept
-    far = simhash.fingerprinter()
-    assert any(((far(copies[a][1]) ^ far(copies[b][1])) & (1 << 64) - 1).bit_count() > 2 for a, b in close)
-
-
-def test_crowded_buckets_leave_no_near_copies(spark, copies, monkeypatch):
-    monkeypatch.setattr(shingles, "PAIRED", 2)
-    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(copies, "doc_id long, text string")).collect()}
-    sets = [_set(t) for _, t in copies]
-    close = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if _alike(sets[a], sets[b])]
-    assert not [(a, b) for a, b in close if a in kept and b in kept]
-    joined = _components(close, range(len(sets)))
-    assert {joined[k] for k in kept} == set(joined.values())
-
-
-def test_near_copies_of_the_given_documents(spark):
-    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
-    rows = sorted(map(tuple, docs.collect()))
-    sets = {k: _set(t) for k, t in rows}
-    close = [(a, b) for a, b in itertools.combinations(sets, 2) if _alike(sets[a], sets[b])]
-    assert any(sets[a] != sets[b] for a, b in close)
-    assert {r.doc_id for r in simhash.keep_one(docs).collect()} == set(_components(close, sets).values())
+from innsight.llm import simhash
 
 
 def test_copies_without_id(spark):
