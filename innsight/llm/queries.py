@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innsight.llm import common, counting, decontamination, lines, personal, quality, secrets, sharding, simhash, tokens, warc
+from innsight.llm import (
+    collocations, common, counting, decontamination, jaccard, lines, personal, quality, ranking, secrets, sharding, simhash,
+    tokens, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +79,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.count_tokens(_texts(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_texts(spark, sf_dir))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table("documents", "lang", "text")(spark, sf_dir))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(_texts(spark, sf_dir), _table("benchmark", "item_id", "text")(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -88,8 +103,16 @@ def queries() -> dict[str, Query]:
         "op8_personal_data": op8_personal_data,
         "op9_bpe": op9_bpe,
         "op10_token_counts": op10_token_counts,
+        "op11_ngram_jaccard": op11_ngram_jaccard,
+        "op12_collocations": op12_collocations,
+        "op13_ranked_search": op13_ranked_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": lines.REPORT_SQL}
+    return {
+        "op3_line_dedup": lines.REPORT_SQL,
+        "op11_ngram_jaccard": jaccard.JOIN_SQL,
+        "op12_collocations": collocations.COLLOCATIONS_SQL,
+        "op13_ranked_search": ranking.RANK_SQL,
+    }
