@@ -97,7 +97,7 @@ class HotelReviews:
         return words.tag_influence(self.reviews, min_count)
 
     def length_extremes(self, by: str | None = None) -> DataFrame:
-        return words.review_length_extremes(self.reviews, by)
+        return words.review_length_extremes(self.reviews, by, self.review_id)
 
     # Sentiment
 
@@ -131,7 +131,7 @@ class HotelReviews:
     def seasonal_label_stats(
         self, make_model: Callable[[], Scorer], hotel: str | None = None, per_season: int = 1
     ) -> DataFrame:
-        return classified.seasonal_label_stats(self.reviews, make_model, per_season, hotel)
+        return classified.seasonal_label_stats(self.reviews, make_model, per_season, hotel, id_column=self.review_id)
 
     # One hotel
 
@@ -160,7 +160,7 @@ class HotelReviews:
         return hotels.fact_sheet(self.reviews, hotel)
 
     def review_digest(self, hotel: str | None = None, limit: int = digest.REVIEWS_PER_DIGEST) -> DataFrame:
-        return digest.review_digest(self.reviews, limit, hotel)
+        return digest.review_digest(self.reviews, limit, hotel, id_column=self.review_id)
 
     def summaries(
         self,

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innsight.functions.text import combined_review, strip_punctuation, words
+from innsight.operators.skew import HOT_ROWS, frequent_keys, spread_join
 
 NORMALISATION = 15.0  # fixed value
 
@@ -61,6 +62,7 @@ def with_sentiment(
     lexicon: Lexicon,
     id_column: str | None = None,
     out: str = "Sentiment_Score",
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """``reviews`` with a sentiment score per row.
 
@@ -68,21 +70,35 @@ def with_sentiment(
     given as a table (``word``, ``valence``) may have any size; it is joined to
     the words of each review and needs ``id_column``, a unique key of the rows. Words
     are compared in lower case; of a word that is listed twice the least valence holds.
+
+    The words of a review are summed up before the join. A word of more than about
+    ``hot_rows`` reviews is dealt to several tasks, by the review's id, and its
+    entry of the lexicon goes to each of them; with ``None`` the words are not looked
+    through for such, which spares a reading of the texts where the lexicon is small.
     """
     tokens = review_words(F.col("Positive_Review"), F.col("Negative_Review"))
     if not isinstance(lexicon, DataFrame):
         return reviews.withColumn(out, lexicon_score(tokens, lexicon))
     if id_column is None:
         raise ValueError("a lexicon table needs id_column, a unique key of the reviews")
-    hits = (
-        reviews.select(id_column, F.explode(tokens).alias("word"))
-        .withColumn("word", strip_punctuation(F.col("word")))
-        .join(lexicon.groupBy(F.lower("word").alias("word")).agg(F.min("valence").alias("valence")), "word")
-        .groupBy(id_column)
-        .agg(F.sum("valence").alias("_total"))
-    )
     return (
-        reviews.join(hits, id_column, "left")
+        reviews.join(_totals(reviews.select(id_column, tokens.alias("_words")), lexicon, id_column, hot_rows), id_column, "left")
         .withColumn(out, compound(F.coalesce(F.col("_total"), F.lit(0.0))))
         .drop("_total")
     )
+
+
+def _totals(worded: DataFrame, lexicon: DataFrame, id_column: str, hot_rows: int | None) -> DataFrame:
+    """The summed valences of each review (id, ``_words``) that has a word of the lexicon."""
+    valences = lexicon.groupBy(F.lower("word").alias("word")).agg(F.min("valence").alias("valence"))
+    found = worded.select(id_column, F.explode("_words").alias("word")).withColumn(
+        "word", strip_punctuation(F.col("word"))
+    )
+    times = found.groupBy(id_column, "word").agg(F.count(F.lit(1)).alias("_times"))
+    if hot_rows is None:
+        hits = times.join(valences, "word")
+    else:
+        hot = F.broadcast(frequent_keys(found, "word", hot_rows, "_rows"))
+        weighed = valences.join(hot, "word", "left").withColumn("_rows", F.coalesce("_rows", F.lit(1)))
+        hits = spread_join(times, weighed, "word", "_rows", [id_column], hot_rows)
+    return hits.groupBy(id_column).agg(F.sum(F.col("_times") * F.col("valence")).alias("_total"))

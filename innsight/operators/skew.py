@@ -27,6 +27,24 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return counted.filter(F.col(_ROWS) > hot_rows).select(*keys)
 
 
+def frequent_keys(
+    df: DataFrame, key: str, hot_rows: int, rows: str, most: int = 10_000, tracked: int = 65_536, groups: int = 64
+) -> DataFrame:
+    """Keys with about ``hot_rows`` rows or more and that number, by frequent-items sketches.
+
+    Unlike :func:`hot_keys` it shuffles sketches alone, so that keys of any number are
+    counted without a row each. A key is missed only where it has less than about a
+    share of ``1 / tracked`` of the rows a group of tasks reads. Null is no key.
+    """
+    sketched = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy((F.spark_partition_id() % groups).alias("_group"))
+        .agg(F.expr(f"approx_top_k({key}, {most}, {tracked})").alias("_top"))
+    )
+    reported = sketched.select(F.explode("_top").alias("_t")).groupBy(F.col("_t.item").alias(key))
+    return reported.agg(F.sum("_t.count").alias(rows)).filter(F.col(rows) > hot_rows)
+
+
 def spread_join(
     fact: DataFrame,
     per_key: DataFrame,
@@ -62,6 +80,7 @@ def top_n(
     rank: str = "rank",
     hot: DataFrame | None = None,
     pieces: int = 64,
+    ties: bool = False,
 ) -> DataFrame:
     """First ``n`` rows of each key under a total order, with their rank.
 
@@ -70,12 +89,14 @@ def top_n(
     ``n`` rows per map task. Keys listed in ``hot`` (from :func:`hot_keys`) are
     ranked in two steps, first within ``pieces`` hashed parts, so that the last
     task sees ``n * pieces`` rows of a hot key however many map tasks there
-    were. Keys must not be null when ``hot`` is given.
+    were. Keys must not be null when ``hot`` is given. With ``ties`` the order need not
+    be total: rows that tie with the last of the ``n`` stay, and equal rows have one rank.
     """
+    place = F.rank() if ties else F.row_number()
 
     def ranked(part: DataFrame, by: Sequence[str]) -> DataFrame:
         window = Window.partitionBy(*by).orderBy(*order)
-        return part.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
+        return part.withColumn(rank, place.over(window)).filter(F.col(rank) <= n)
 
     keys = list(keys)
     if hot is None:

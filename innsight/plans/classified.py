@@ -15,14 +15,18 @@ from pyspark.sql import functions as F
 from innsight.functions.bands import label_from_score, sentiment_band, sentiment_sentence
 from innsight.functions.dates import NO_SEASON, season
 from innsight.functions.text import combined_review, is_blank, label_prompt, parse_label
+from innsight.operators.late import top_n_late
 from innsight.operators.scoring import Scorer, score_text
 from innsight.operators.sentiment import Lexicon, compound, lexicon_score, review_words, with_sentiment
 from innsight.operators.skew import HOT_ROWS, hot_keys, top_n
 from innsight.plans.common import only, sorted_if
 
 
+TEXTS = ("Positive_Review", "Negative_Review")
+
+
 def _parts() -> tuple[Column, Column]:
-    return F.col("Positive_Review"), F.col("Negative_Review")
+    return F.col(TEXTS[0]), F.col(TEXTS[1])
 
 
 def model_label(make_scorer: Callable[[], Scorer]) -> Column:
@@ -79,13 +83,16 @@ def seasonal_label_stats(
     hotel: str | None = None,
     order: tuple[str, ...] = ("Review_Date", "Positive_Review", "Negative_Review", "Reviewer_Score"),
     hot_rows: int | None = HOT_ROWS,
+    id_column: str | None = None,
 ) -> DataFrame:
     """Mean label and score of the first ``per_season`` reviews of each hotel and season.
 
     The model is given an instruction with each review
     (:func:`innsight.functions.text.label_prompt`) and writes free text, read by
     :func:`innsight.functions.text.parse_label`; no answer counts as 0. It sees the
-    chosen reviews only.
+    chosen reviews only. With ``id_column``, a unique key of the rows, reviews are
+    ranked without their texts (by the id, where ``order`` leaves a tie) and the
+    texts of the chosen ones read afterwards.
     """
     positive, negative = _parts()
     keys = ["Hotel_Name", "Season"]
@@ -94,13 +101,13 @@ def seasonal_label_stats(
     columns = dict.fromkeys(
         ["Hotel_Name", "Hotel_Address", "Season", "Positive_Review", "Negative_Review", "Reviewer_Score", *order]
     )
-    chosen = top_n(
-        dated.select(*columns),
-        keys,
-        [F.asc(name) for name in order],
-        per_season,
-        hot=None if hot_rows is None else hot_keys(dated, keys, hot_rows),
-    )
+    if id_column is None:
+        hot = None if hot_rows is None else hot_keys(dated, keys, hot_rows)
+        chosen = top_n(dated.select(*columns), keys, [F.asc(name) for name in order], per_season, hot=hot)
+    else:
+        # A score in the order is ranked by, like the other narrow columns.
+        wide = [name for name in columns if name not in (*keys, id_column, *set(order) - set(TEXTS))]
+        chosen = top_n_late(dated, keys, order, per_season, id_column, wide, hot_rows=hot_rows)
     labelled = chosen.withColumn(
         "_label", parse_label(score_text(label_prompt(combined_review(positive, negative)), make_scorer))
     )

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innsight.functions.text import strip_punctuation, words
+from innsight.operators.late import fetch
+from innsight.operators.skew import top_n
 from innsight.schema import IMPUTED
 
 KINDS = {"positive": "Positive_Review", "negative": "Negative_Review"}
@@ -101,29 +103,64 @@ def tag_influence(reviews: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     )
 
 
-def review_length_extremes(reviews: DataFrame, by: str | None = None) -> DataFrame:
+def review_length_extremes(
+    reviews: DataFrame, by: str | None = None, id_column: str | None = None
+) -> DataFrame:
     """Longest and shortest positive and negative review, over all or per ``by``.
 
     Among texts of equal length the least (hotel, city, score, text) is taken.
     Over all, the four come from one aggregate over one pass. Per ``by``, the
     extreme lengths are found first, as numbers, and ties are broken among the
-    texts of those lengths alone, so that no task sorts all its texts.
+    texts of those lengths alone, so that no task sorts all its texts. With
+    ``id_column``, a unique key of the rows, lengths, hashes and ids alone are
+    shuffled, and a text is read only where it ties to the end.
     """
     # Names of the two kinds of text.
     named = {"positiva": "Positive_Review", "negativa": "Negative_Review"}
     fields = ["Hotel_Name", "Hotel_City", "Reviewer_Score"]
     if by is None:
         return _extremes_of_all(reviews, named, fields)
-    kind = F.when(F.col("_column") == named["positiva"], "positiva").otherwise("negativa")
-    columns = list(named.values())
-    texts = (
-        reviews.select(F.col(by).alias(f"by_{by}"), *fields, *columns)
-        .unpivot([f"by_{by}", *fields], columns, "_column", "review_text")
-        .filter(F.col("review_text").isNotNull())
-        .withColumn("type", kind)
-        .withColumn("length", F.length("review_text"))
-    )
     keys = [f"by_{by}", "type"]
+    if id_column is None:
+        near = _near_extremes(_texts_by_kind(reviews, by, named, fields, ["review_text"]), keys)
+    else:
+        narrow = _near_extremes(_texts_by_kind(reviews, by, named, fields, [id_column, "_hash"]), keys)
+        # Of equal texts that tie one is read.
+        group = [*keys, "_which", "length", *fields]
+        alike = narrow.groupBy(*group, "_hash").agg(F.min(id_column).alias(id_column)).drop("_hash")
+        tied = top_n(alike, [*keys, "_which"], [F.asc(name) for name in fields], 1, ties=True).drop("rank")
+        text = F.when(F.col("type") == "positiva", F.col(named["positiva"])).otherwise(F.col(named["negativa"]))
+        near = fetch(tied, reviews, id_column, list(named.values())).withColumn("review_text", text)
+    least = F.min(F.struct(*fields, "review_text")).alias("_row")
+    return (
+        near.groupBy(*keys, "_which", "length")
+        .agg(least)
+        .select(keys[0], "_row.review_text", "_row.Reviewer_Score", "_row.Hotel_Name", "_row.Hotel_City", "type", "length")
+    )
+
+
+def _texts_by_kind(
+    reviews: DataFrame, by: str, named: dict[str, str], fields: list[str], wanted: list[str]
+) -> DataFrame:
+    """A row per text that is there: key, kind, fields, length and what else is wanted of it."""
+
+    def of(kind: str, column: str) -> Column:
+        text = F.col(column)
+        parts = [F.lit(kind).alias("type"), F.length(text).alias("length")]
+        offered = {"review_text": text.alias("review_text"), "_hash": F.xxhash64(text).alias("_hash")}
+        return F.struct(*parts, *[offered[name] for name in wanted if name in offered])
+
+    rows = reviews.select(
+        F.col(by).alias(f"by_{by}"),
+        *fields,
+        *[name for name in wanted if name not in ("review_text", "_hash")],
+        F.inline(F.array(*[of(kind, column) for kind, column in named.items()])),
+    )
+    return rows.filter(F.col("length").isNotNull())
+
+
+def _near_extremes(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of the greatest and of the least length of each key, ``_which`` of the two in a column."""
     bounds = (
         texts.groupBy(*keys)
         .agg(F.max("length").alias("_long"), F.min("length").alias("_short"))
@@ -144,12 +181,7 @@ def review_length_extremes(reviews: DataFrame, by: str | None = None) -> DataFra
         & (F.col("type") == F.col("_type"))
         & (F.col("length") == F.col("_bound.at")),
     )
-    least = F.min(F.struct(*fields, "review_text")).alias("_row")
-    return (
-        near.groupBy(*keys, F.col("_bound.which").alias("_which"), "length")
-        .agg(least)
-        .select(keys[0], "_row.review_text", "_row.Reviewer_Score", "_row.Hotel_Name", "_row.Hotel_City", "type", "length")
-    )
+    return near.withColumn("_which", F.col("_bound.which")).drop("_by", "_type", "_bound")
 
 
 def _extremes_of_all(reviews: DataFrame, named: dict[str, str], fields: list[str]) -> DataFrame:

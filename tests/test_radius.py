@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from innsight.operators.radius import near_point, pairs_within
 from innsight.plans import nearby
@@ -144,3 +145,55 @@ def test_crowded_cell_is_split_at_run_time(spark):
     finally:
         for name in settings:
             spark.conf.unset(name)
+
+
+CASES = [
+    (45.0, 9.0, 0.05, 1.0), (52.0, 4.9, 1.0, 25.0), (0.0, 180.0, 0.5, 40.0), (-17.0, -180.0, 0.2, 10.0),
+    (89.9, 0.0, 45.0, 700.0), (-89.99, 30.0, 0.02, 1.5), (70.0, 179.9, 2.0, 120.0), (10.0, 20.0, 60.0, 6000.0),
+    (0.0, 0.0, 80.0, 15000.0),
+]
+
+
+def points_of(spark, points, name, n):
+    return spark.createDataFrame([(i, *p) for i, p in enumerate(points)], f"{name} int, lat{n} double, lng{n} double")
+
+
+@pytest.mark.parametrize("cell_rows", [1, 5])
+@pytest.mark.parametrize("case", CASES)
+def test_divided_cells_have_the_same_pairs(spark, case, cell_rows):
+    middle_lat, middle_lng, spread, radius = case
+    points = somewhere(8, middle_lat, middle_lng, spread, 70) + [(middle_lat, middle_lng), (90.0, 0.0), (-90.0, 11.0)]
+    left, right = points_of(spark, points, "a", 0), points_of(spark, points, "b", 1)
+    found = pairs_within(left, right, radius, ("lat0", "lng0"), ("lat1", "lng1"), cell_rows=cell_rows)
+    plain = pairs_within(left, right, radius, ("lat0", "lng0"), ("lat1", "lng1"), cell_rows=10**6)
+    rows = sorted(map(tuple, found.collect()))
+    assert rows == sorted(map(tuple, plain.collect())) and len(rows) == len(set(rows))
+
+
+def test_most_points_in_one_cell(spark):
+    """Nine tenths of the points within a kilometre, some of them at one place."""
+    crowd = somewhere(1, 45.0, 9.0, 0.002, 500) + [(45.0, 9.0)] * 40
+    points = crowd + somewhere(2, 45.0, 9.0, 0.5, 60)
+    left, right = points_of(spark, points, "a", 0), points_of(spark, points, "b", 1)
+    left = left.union(spark.createDataFrame([(9999, None, 9.0)], left.schema))
+    found = pairs_within(left, right, 0.2, ("lat0", "lng0"), ("lat1", "lng1"), cell_rows=20)
+    rows = {(row.a, row.b) for row in found.collect()}
+    distances = {(i, j): km(*p, *q) for i, p in enumerate(points) for j, q in enumerate(points)}
+    assert rows <= {pair for pair, d in distances.items() if d <= 0.2 + 1e-9}
+    assert rows >= {pair for pair, d in distances.items() if d <= 0.2 - 1e-9}
+
+
+def test_a_crowded_cell_is_dealt_to_many_tasks(spark):
+    points = somewhere(1, 45.0, 9.0, 0.001, 3000)
+    left, right = points_of(spark, points, "a", 0), points_of(spark, points, "b", 1)
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in held}
+    for name, value in held.items():
+        spark.conf.set(name, value)
+    try:
+        pairs = pairs_within(left, right, 0.5, ("lat0", "lng0"), ("lat1", "lng1"), cell_rows=100)
+        sizes = [row["count"] for row in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(sizes) == 16 and max(sizes) < sum(sizes) / 4

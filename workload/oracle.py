@@ -507,10 +507,17 @@ def oracle_sql() -> dict[str, str]:
         "hotel_fact_sheet_one": ("hotel_fact_sheet", "Hotel_Name", views.ONE_HOTEL),
         "top_hotels_one_city": ("top_hotels_by_city", "Hotel_City", views.ONE_CITY),
         "cities_one_nationality": ("cities_by_reviewer_nationality", "Reviewer_Nationality", views.ONE_CITY),
+        "hotel_mean_score_one": ("hotel_mean_score", "Hotel_Name", views.ONE_HOTEL),
+        "hotel_reputation_one": ("hotel_reputation", "Hotel_Name", views.ONE_HOTEL),
+        "anomalous_reviews_one": ("anomalous_reviews", "Hotel_Name", views.ONE_HOTEL),
         "sentiment_one_nation": ("sentiment_by_nation_season", "Hotel_Nationality", views.ONE_NATION),
     }
     for name, (question, column, value) in one.items():
         found[name] = f"select * from ({found[question]}) everything where {column} = '{value}'"
+    found["cities_by_known_nationality"] = (
+        f"select * from ({found['cities_by_reviewer_nationality']}) everything where Reviewer_Nationality <> 'Unknown'"
+    )
+    found["classified_sentiment_lexicon_table"] = found["classified_sentiment"]
     for question in ("anomalous_reviews", "review_digest"):
         found[f"{question}_hot"] = found[question]
     return found

@@ -77,6 +77,7 @@ def toy_summariser():
     return make
 
 
+# Fixed value: the instruction to the model, written out again so that a wrong one in the library shows.
 INSTRUCTION = "Classify the overall sentiment of this hotel review (positive, neutral, or negative):\n"
 CLASSIFIER_OUTPUT = {1: "positive", 0: "neutral", -1: "negative"}
 CHAT_OUTPUT = {
@@ -136,6 +137,10 @@ def queries() -> dict[str, Query]:
             lambda df: places.cities_by_reviewer_nationality(df, nationality=views.ONE_CITY),
             "Reviewer_Nationality", "Hotel_City", "Reviewer_Score",
         ),
+        "cities_by_known_nationality": _of_reviews(
+            lambda df: places.cities_by_reviewer_nationality(df, exclude_unknown=True),
+            "Reviewer_Nationality", "Hotel_City", "Reviewer_Score",
+        ),
         "unique_hotels": _of_reviews(places.unique_hotels, *_SITE),
         "reviewer_nationalities": _of_reviews(
             lambda df: places.distinct_values(df, "Reviewer_Nationality"), "Reviewer_Nationality"
@@ -155,6 +160,14 @@ def queries() -> dict[str, Query]:
         "anomalous_reviews": _of_reviews(
             hotels.anomalous_reviews, *_HOTEL, "Review_Date", "Positive_Review", "Negative_Review"
         ),
+        "hotel_mean_score_one": _of_reviews(lambda df: hotels.mean_score(df, views.ONE_HOTEL), *_HOTEL),
+        "hotel_reputation_one": _of_reviews(
+            lambda df: hotels.reputation(df, hotel=views.ONE_HOTEL), *_HOTEL, "Review_Date"
+        ),
+        "anomalous_reviews_one": _of_reviews(
+            lambda df: hotels.anomalous_reviews(df, hotel=views.ONE_HOTEL),
+            *_HOTEL, "Review_Date", "Positive_Review", "Negative_Review",
+        ),
         "anomalous_reviews_hot": _of_reviews(
             lambda df: hotels.anomalous_reviews(df, hot_rows=400),
             *_HOTEL, "Review_Date", "Positive_Review", "Negative_Review",
@@ -200,7 +213,7 @@ def queries() -> dict[str, Query]:
         ),
         "review_length_extremes": _of_texts(words.review_length_extremes),
         "review_length_extremes_by_hotel": _of_texts(
-            lambda df: words.review_length_extremes(df, by="Hotel_Name")
+            lambda df: words.review_length_extremes(df, by="Hotel_Name", id_column="review_id")
         ),
         # Sentiment
         "sentiment_by_season": _of_texts(lambda df: seasons.sentiment_by_season(df, lexicon)),
@@ -230,6 +243,13 @@ def queries() -> dict[str, Query]:
         "classified_sentiment": _of_texts(
             lambda df: classified.hotel_sentiment(df, classified.lexicon_label(lexicon))
         ),
+        "classified_sentiment_lexicon_table": lambda spark, sf_dir: comparable(
+            classified.hotel_sentiment(
+                *classified.with_lexicon_label(
+                    views.text_reviews(spark, sf_dir), views.untidy_lexicon(spark), "review_id"
+                )
+            )
+        ),
         "classified_sentiment_model": _of_texts(
             lambda df: classified.hotel_sentiment(
                 df, classified.model_label(toy_model(CLASSIFIER_OUTPUT))
@@ -241,6 +261,7 @@ def queries() -> dict[str, Query]:
                 toy_model(CHAT_OUTPUT, INSTRUCTION),
                 per_season=5,
                 order=("Review_Date", "review_id"),
+                id_column="review_id",
             )
         ),
         "seasonal_label_stats_hot": _of_texts(
@@ -250,11 +271,12 @@ def queries() -> dict[str, Query]:
                 per_season=5,
                 order=("Review_Date", "review_id"),
                 hot_rows=1,
+                id_column="review_id",
             )
         ),
         # Digests
-        "review_digest": _of_texts(digest.review_digest),
-        "review_digest_hot": _of_texts(lambda df: digest.review_digest(df, hot_rows=9)),
+        "review_digest": _of_texts(lambda df: digest.review_digest(df, id_column="review_id")),
+        "review_digest_hot": _of_texts(lambda df: digest.review_digest(df, hot_rows=9, id_column="review_id")),
         "hotel_summaries": _of_texts(
             lambda df: digest.hotel_summaries(digest.review_digest(df), toy_summariser())
         ),
