@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,10 @@ class HotelReviews:
     def city_overview(self) -> DataFrame:
         return places.city_overview(self.reviews)
 
+    def city_sketches(self, *parts: str) -> DataFrame:
+        """What the overview needs per city and part, to be stored and merged by ``places.overview_of_sketches``."""
+        return places.city_sketches(self.reviews, *parts)
+
     def top_hotels(self, city: str | None = None, n: int = 5) -> DataFrame:
         return places.top_hotels_by_city(self.reviews, n, city)
 
@@ -150,8 +155,10 @@ class HotelReviews:
     def hotels_near_sights(self, sights: DataFrame, radius_km: float = 1.0) -> DataFrame:
         return nearby.hotels_near_sights(self.reviews, sights, radius_km)
 
-    def reputation(self, hotel: str | None = None, days: int = 30) -> DataFrame:
-        return hotels.reputation(self.reviews, days, hotel)
+    def reputation(
+        self, hotel: str | None = None, days: int = 30, as_of: datetime.date | None = None
+    ) -> DataFrame:
+        return hotels.reputation(self.reviews, days, hotel, as_of)
 
     def anomalous_reviews(self, hotel: str | None = None, k: float = 2.0) -> DataFrame:
         return hotels.anomalous_reviews(self.reviews, k, hotel)

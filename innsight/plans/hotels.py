@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,13 +41,17 @@ def monthly_trend(reviews: DataFrame, hotel: str | None = None) -> DataFrame:
     return sorted_if(trend, hotel, "anno", "mese")
 
 
-def reputation(reviews: DataFrame, days: int = 30, hotel: str | None = None) -> DataFrame:
+def reputation(
+    reviews: DataFrame, days: int = 30, hotel: str | None = None, as_of: datetime.date | None = None
+) -> DataFrame:
     """Mean of the last ``days`` days against the mean over all time.
 
-    The days count back from the latest review of the whole table. A hotel
-    without a recent review has no recent mean and no difference.
+    The days count back from ``as_of`` or else from the latest review of the whole
+    table, which is then read for its dates too; of a stored table
+    :func:`innsight.sources.reviews.latest_date` gives it without. A hotel without a
+    recent review has no recent mean and no difference.
     """
-    latest = reviews.agg(F.max("Review_Date").alias("latest")).scalar()
+    latest = reviews.agg(F.max("Review_Date").alias("latest")).scalar() if as_of is None else F.lit(as_of)
     recent = F.datediff(latest, F.col("Review_Date")) <= days
     return (
         only(reviews, "Hotel_Name", hotel)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from innsight.operators.distinct import LG_K, distinct_sketch, estimate, merge_sketches
 from innsight.operators.skew import top_n
 from innsight.plans.common import only
 from innsight.schema import IMPUTED
@@ -25,6 +26,38 @@ def city_overview(reviews: DataFrame) -> DataFrame:
     )
 
 
+def city_sketches(reviews: DataFrame, *parts: str, lg_k: int = LG_K) -> DataFrame:
+    """Per city and ``parts`` (days, files) what :func:`overview_of_sketches` needs: sums, counts and a sketch of the hotels.
+
+    To be stored: new reviews add rows, old ones are not read again.
+    """
+    score = F.col("Reviewer_Score")
+    return reviews.groupBy("Hotel_City", *parts).agg(
+        F.count(F.lit(1)).alias("reviews"),
+        distinct_sketch("Hotel_Name", lg_k).alias("hotels"),
+        F.sum("Average_Score").alias("score_sum"),
+        F.count("Average_Score").alias("scored"),
+        F.count_if(score < NEUTRAL_SCORE).alias("bad"),
+        F.count_if(score > NEUTRAL_SCORE).alias("good"),
+    )
+
+
+def overview_of_sketches(sketches: DataFrame) -> DataFrame:
+    """:func:`city_overview` from the rows of :func:`city_sketches`, the number of hotels estimated."""
+    summed = sketches.groupBy("Hotel_City").agg(
+        F.sum("reviews").alias("Total_Reviews"),
+        F.round(F.try_divide(F.sum("score_sum"), F.sum("scored")), 2).alias("Average_Score"),
+        F.sum("bad").alias("TotalN"),
+        F.sum("good").alias("TotalP"),
+    )
+    hotels = merge_sketches(sketches, "hotels", "Hotel_City").select(
+        F.col("Hotel_City").alias("_city"), estimate("hotels").alias("Number_Hotel")
+    )
+    return summed.join(hotels, F.col("Hotel_City").eqNullSafe(F.col("_city"))).select(
+        "Hotel_City", "Total_Reviews", "Number_Hotel", "Average_Score", "TotalN", "TotalP"
+    )
+
+
 def top_hotels_by_city(reviews: DataFrame, n: int = 5, city: str | None = None) -> DataFrame:
     """The ``n`` best hotels of each city beside the mean over its reviews.
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from innsight.schema import RAW_COLUMNS
 
@@ -17,6 +21,33 @@ def read_raw(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return reader.option("mode", "PERMISSIVE").options(**options).csv(path).select(*RAW_COLUMNS)
 
 
+#: Columns of a file that are looked at where files differ in theirs.
+WIDTH = 64
+
+
+def read_raw_any_order(spark: SparkSession, path: str, width: int = WIDTH, **options: str) -> DataFrame:
+    """As :func:`read_raw`, where each file has its columns in an order of its own, others among them.
+
+    Lines are read by place, up to ``width`` fields; each file's header line says which
+    of them are which, and meets the lines of its file in a join on their file, one
+    short row per file. Lines equal to a header in all wanted columns are no data. A file
+    without a full header ends the read with an error. The files are read twice.
+    """
+    cells = [f"_{k}" for k in range(width)]
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in cells])
+    reader = spark.read.schema(schema).option("header", False).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
+    lines = reader.options(**options).csv(path).select(F.array(*cells).alias("_cells"), F.col("_metadata.file_path").alias("_file"))
+    is_header = F.size(F.array_intersect("_cells", F.array(*map(F.lit, RAW_COLUMNS)))) == len(RAW_COLUMNS)
+    places = F.array(*[F.array_position("_cells", F.lit(name)).cast("int") for name in RAW_COLUMNS])
+    headers = lines.filter(is_header).groupBy("_file").agg(F.min(places).alias("_places"))
+    missing = F.raise_error(F.concat(F.lit("no header line with all columns in "), "_file"))
+    known = F.when(F.col("_places").isNull(), missing.cast("array<int>")).otherwise(F.col("_places"))
+    rows = lines.filter(~is_header).join(headers, "_file", "left").withColumn("_places", known)
+    return rows.select(
+        *[F.element_at("_cells", F.element_at("_places", k + 1)).alias(name) for k, name in enumerate(RAW_COLUMNS)]
+    )
+
+
 def write_clean(reviews: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Store the cleaned table as Parquet, one directory per hotel nation.
 
@@ -37,3 +68,37 @@ def write_clean(reviews: DataFrame, path: str, mode: str = "errorifexists") -> N
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def write_bucketed(
+    reviews: DataFrame, table: str, buckets: int, path: str | None = None, mode: str = "errorifexists"
+) -> None:
+    """Store the cleaned table in ``buckets`` buckets by hotel, as a table of the session's catalog.
+
+    Questions per hotel need no shuffle on it: a bucket holds all reviews of its hotels, sorted
+    by hotel in each file. A hotel with much of the data is written by several tasks,
+    as several files of one bucket. Choose buckets of some hundred megabytes.
+    """
+    writer = (
+        reviews.hint("rebalance", buckets, F.col("Hotel_Name"))
+        .write.mode(mode)
+        .bucketBy(buckets, "Hotel_Name")
+        .sortBy("Hotel_Name")
+    )
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+
+
+def latest_date(spark: SparkSession, path: str, column: str = "Review_Date") -> datetime.date | None:
+    """The greatest date of a stored table, read from the statistics in the files' footers alone; null if it has none.
+
+    One small job. It runs in a session of its own, whose settings let the Parquet reader
+    answer the aggregate; the caller's session keeps its own.
+    """
+    return _greatest(spark, path, column).first()[0]
+
+
+def _greatest(spark: SparkSession, path: str, column: str) -> DataFrame:
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path).agg(F.max(column))

@@ -517,6 +517,8 @@ def oracle_sql() -> dict[str, str]:
     found["cities_by_known_nationality"] = (
         f"select * from ({found['cities_by_reviewer_nationality']}) everything where Reviewer_Nationality <> 'Unknown'"
     )
+    # A city has few hotels in the given tables, so that its sketch counts them exactly.
+    found["city_overview_of_sketches"] = found["city_overview"]
     found["classified_sentiment_lexicon_table"] = found["classified_sentiment"]
     for question in ("anomalous_reviews", "review_digest"):
         found[f"{question}_hot"] = found[question]

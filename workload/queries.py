@@ -124,6 +124,12 @@ def queries() -> dict[str, Query]:
         "city_overview": _of_reviews(
             places.city_overview, "Hotel_City", "Hotel_Name", "Average_Score", "Reviewer_Score"
         ),
+        "city_overview_of_sketches": _of_reviews(
+            lambda df: places.overview_of_sketches(
+                places.city_sketches(df.withColumn("year", F.year("Review_Date")), "year")
+            ),
+            "Hotel_City", "Hotel_Name", "Average_Score", "Reviewer_Score", "Review_Date",
+        ),
         "top_hotels_by_city": _of_reviews(
             places.top_hotels_by_city, "Hotel_Nationality", "Hotel_City", *_HOTEL
         ),
