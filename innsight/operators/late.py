@@ -29,13 +29,22 @@ def _word(place: Column) -> Column:
     return F.shiftright(place, 6)
 
 
+def marked(table: DataFrame, ids: DataFrame, id_column: str, out: str) -> DataFrame:
+    """``table`` with a boolean column ``out``: true for all rows whose id is among ``ids``, and few others.
+
+    No shuffle of ``table``.
+    """
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({id_column}), 64) as int))")
+    word = _word(_place(F.col(id_column)))
+    marks = ids.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    held = table.withColumn("_word", word).join(F.broadcast(marks), "_word", "left")
+    named = F.coalesce(F.col("_bits"), F.lit(0)).bitwiseAND(bit) != 0
+    return held.withColumn(out, named).drop("_word", "_bits")
+
+
 def only_ids(table: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
     """Rows of ``table`` whose id may be among ``ids``: all that are, and few others. No shuffle of ``table``."""
-    place = _place(F.col(id_column))
-    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({id_column}), 64) as int))")
-    marks = ids.groupBy(_word(place).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
-    held = table.withColumn("_word", _word(place)).join(F.broadcast(marks), "_word")
-    return held.filter(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits")
+    return marked(table, ids, id_column, "_named").filter("_named").drop("_named")
 
 
 def fetch(chosen: DataFrame, table: DataFrame, id_column: str, columns: Sequence[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from innsight.operators.late import only_ids
 from innsight.operators.radius import near_point, pairs_within
 from innsight.plans.common import only, sorted_if
 from innsight.plans.places import unique_hotels
@@ -57,6 +58,26 @@ def hotels_near_point(
     )
 
 
+def hotels_near_point_by_name(
+    reviews: DataFrame, lat: float, lng: float, radius_km: float = 500.0
+) -> DataFrame:
+    """:func:`hotels_near_point` in two readings, for a circle that holds little of a large table.
+
+    The first reads sites alone, in the ranges of latitude and longitude that the scan
+    skips data by; the second the scores of the names found, which are not shuffled
+    for any others.
+    """
+    sites = near_point(reviews.select("Hotel_Name", "Hotel_City", "lat", "lng"), lat, lng, radius_km).distinct()
+    names = sites.select("Hotel_Name").distinct()
+    scores = only_ids(reviews.select("Hotel_Name", "Reviewer_Score"), names, "Hotel_Name")
+    means = scores.groupBy(F.col("Hotel_Name").alias("_name")).agg(F.avg("Reviewer_Score").alias("Avg_Score"))
+    return (
+        sites.join(means, F.col("Hotel_Name").eqNullSafe(F.col("_name")))
+        .select("Hotel_Name", "Hotel_City", "lat", "lng", "distanza", "Avg_Score")
+        .orderBy("distanza", "Hotel_Name")
+    )
+
+
 def hotels_near_sights(reviews: DataFrame, sights: DataFrame, radius_km: float = 1.0) -> DataFrame:
     """:func:`hotels_near_point` for every row of ``sights`` (``nome``, ``lat``, ``lng``) in one job."""
     points = sights.select(

@@ -21,6 +21,18 @@ def read_raw(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return reader.option("mode", "PERMISSIVE").options(**options).csv(path).select(*RAW_COLUMNS)
 
 
+#: Where a row of :func:`read_raw_stored` stands.
+PLACE = ("_file", "_row")
+
+
+def read_raw_stored(spark: SparkSession, path: str) -> DataFrame:
+    """A raw table stored as Parquet, strings as in the files, with the place of each row: ``PLACE``."""
+    found = spark.read.parquet(path)
+    return found.select(
+        *RAW_COLUMNS, F.col("_metadata.file_path").alias(PLACE[0]), F.col("_metadata.row_index").alias(PLACE[1])
+    )
+
+
 #: Columns of a file that are looked at where files differ in theirs.
 WIDTH = 64
 

@@ -9,8 +9,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from innsight.operators import distinct
-from innsight.plans import hotels, places
+from innsight.operators import dedup, distinct
+from innsight.plans import hotels, ingest, nearby, places
 from innsight.schema import RAW_COLUMNS
 from innsight.sources import reviews as source
 from workload import views
@@ -122,3 +122,54 @@ def test_files_of_two_orders_give_the_same_rows(spark, tmp_path):
     write_csv(tmp_path / "many" / "short.csv", RAW_COLUMNS[:-1], records[:1])
     with pytest.raises(PySparkException, match="no header line"):
         source.read_raw_any_order(spark, str(tmp_path / "many")).collect()
+
+
+@pytest.fixture(scope="module")
+def raw_path(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("raw") / "stored")
+    views.raw_reviews(spark, SF_DIR).repartition(5).write.parquet(path)
+    return path
+
+
+def text_exchanges(node):
+    """Whether each shuffle of texts has the bit map's broadcast below it."""
+    below = [node.children().apply(k) for k in range(node.children().size())]
+    names = {node.output().apply(k).name() for k in range(node.output().size())}
+    own = ["_bits" in node.toString()] if node.nodeName() == "Exchange" and "Positive_Review" in names else []
+    return own + [found for child in below for found in text_exchanges(child)]
+
+
+def test_copies_are_dropped_without_a_shuffle_of_texts(spark, raw_path):
+    stored = source.read_raw_stored(spark, raw_path)
+    by_place = ingest.clean(ingest.typed(stored, source.PLACE), with_id=True, place=source.PLACE)
+    by_rows = ingest.clean(ingest.typed(stored), with_id=True)
+    assert by_place.schema == by_rows.schema
+    assert rows(by_place) == rows(by_rows) and by_rows.count() < stored.count()
+    first_plan = by_place._jdf.queryExecution().executedPlan().initialPlan()
+    assert all(text_exchanges(first_plan))
+    assert not all(text_exchanges(by_rows._jdf.queryExecution().executedPlan().initialPlan()))
+
+
+def test_drop_copies(spark):
+    rng = random.Random(2)
+    data = [(k, rng.choice(["a", "b", None]), rng.choice([1, 2, None]), rng.choice([["x"], [], None])) for k in range(300)]
+    data += [(300 + k, "same", 7, ["y"]) for k in range(400)]
+    df = spark.createDataFrame(data, "i int, s string, n int, a array<string>")
+    got = sorted(r.i for r in dedup.drop_copies(df, ["s", "n", "a"], ["i"]).collect())
+    first = {}
+    for i, *rest in data:
+        first.setdefault(str(rest), i)
+    assert got == sorted(first.values())
+    assert dedup.drop_copies(df.limit(0), ["s"], ["i"]).count() == 0
+
+
+def test_names_near_a_point_come_from_a_narrow_scan(spark, reviews, tmp_path):
+    reviews.write.parquet(str(tmp_path / "flat"))
+    table = spark.read.parquet(str(tmp_path / "flat"))
+    near = nearby.hotels_near_point_by_name(table, 45.0, 9.0, 300.0)
+    expected = rows(nearby.hotels_near_point(table, 45.0, 9.0, 300.0))
+    assert rows(near) == expected and expected
+    pushed = [line for line in plan(nearby.hotels_near_point_by_name(table, 45.0, 9.0, 300.0)).splitlines() if "PushedFilters" in line]
+    assert any("GreaterThanOrEqual(lat" in line and "LessThanOrEqual(lng" in line and "Reviewer_Score" not in line for line in pushed)
+    unnamed = table.withColumn("Hotel_Name", F.when(F.col("lat") > 45, F.col("Hotel_Name")))
+    assert rows(nearby.hotels_near_point_by_name(unnamed, 45.0, 9.0, 300.0)) == rows(nearby.hotels_near_point(unnamed, 45.0, 9.0, 300.0))

@@ -519,6 +519,7 @@ def oracle_sql() -> dict[str, str]:
     )
     # A city has few hotels in the given tables, so that its sketch counts them exactly.
     found["city_overview_of_sketches"] = found["city_overview"]
+    found["hotels_near_point_by_name"] = found["hotels_near_point"]
     found["classified_sentiment_lexicon_table"] = found["classified_sentiment"]
     for question in ("anomalous_reviews", "review_digest"):
         found[f"{question}_hot"] = found[question]

@@ -189,6 +189,9 @@ def queries() -> dict[str, Query]:
         "hotels_near_point": _of_reviews(
             lambda df: nearby.hotels_near_point(df, *POINT, POINT_RADIUS_KM), *_SITE, "Reviewer_Score"
         ),
+        "hotels_near_point_by_name": _of_reviews(
+            lambda df: nearby.hotels_near_point_by_name(df, *POINT, POINT_RADIUS_KM), *_SITE, "Reviewer_Score"
+        ),
         "hotels_near_poi": lambda spark, sf_dir: comparable(
             nearby.hotels_near_sights(
                 views.reviews(spark, sf_dir, *_SITE, "Reviewer_Score"),
