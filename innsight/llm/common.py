@@ -7,7 +7,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,12 +44,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests), a new local one is set."""
+    """The folder of ``spark.checkpoint.dir``; where it is unset, a new local one is set if all tasks run on this machine."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
         current = spark.sparkContext.getCheckpointDir()
     return current
@@ -61,6 +63,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def sample(df: DataFrame, limit: int, pieces: int = 64) -> DataFrame:
+    """At most ``limit`` different rows, those of least hash over all columns: the same ones on each run.
+
+    The least of each piece come first, so that few rows meet in the end however many tasks there are.
+    """
+    rank, piece = unused(df, "rank_in_piece", "piece_of_sample")
+    hashed = F.xxhash64(*df.columns)
+    order = Window.partitionBy(piece).orderBy(hashed, *df.columns)
+    ranked = df.distinct().withColumn(piece, F.pmod(hashed, F.lit(pieces))).withColumn(rank, F.row_number().over(order))
+    return ranked.filter(F.col(rank) <= limit).select(*df.columns).orderBy(hashed, *df.columns).limit(limit)
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """The names, made longer until no column of the DataFrame has them."""
     taken, out = {column.lower() for column in df.columns}, []

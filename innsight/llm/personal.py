@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innsight.llm.common import per_text
+from innsight.llm.common import per_text, sample
 
 KINDS = ("email", "ip", "card", "phone")
 #: Longest segment in units, and the text around a stretch that is looked at.
@@ -26,6 +26,7 @@ MAX_UNITS = 16
 AROUND = 24
 #: Stretches that the weights are fitted on at most, and rounds over them.
 FIT_STRETCHES = 1200
+FIT_CHARS = 200
 ROUNDS = 6
 RATE, DECAY = 0.5, 1e-4
 
@@ -273,19 +274,20 @@ def train(samples: list[str]) -> tuple[dict[str, int], np.ndarray]:
 
 
 def samples(docs: DataFrame, limit: int = FIT_STRETCHES) -> list[str]:
-    """Stretches with the text around them, at most ``limit``: those of least hash, so the same on each run.
+    """Different stretches with the text around them, at most ``limit``: those of least hash, so the same on each run.
 
-    All documents are looked through; only this bounded sample reaches the driver.
+    All documents are looked through; only this bounded sample reaches the driver. Of a
+    stretch of more than ``FIT_CHARS`` characters the front is taken.
     """
 
     def make():
         def one(text: str | None) -> list[str]:
-            return [text[max(0, a - AROUND) : b + AROUND] for a, b in stretches(text or "") if b - a <= 200]
+            return [text[max(0, a - AROUND) : min(b, a + FIT_CHARS) + AROUND] for a, b in stretches(text or "")]
 
         return one
 
     found = docs.select(F.explode(per_text(make, "array<string>")(F.col("text"))).alias("s"))
-    return [row.s for row in found.orderBy(F.xxhash64("s"), "s").limit(limit).collect()]
+    return [row.s for row in sample(found, limit).collect()]
 
 
 SCHEMA = (
@@ -303,7 +305,8 @@ def finder(names: dict[str, int], weights: np.ndarray):
         text = text or ""
         base = base_spans(text) if _TRIGGER.search(text) else []
         added = []
-        for start, end in stretches(text):
+        # A field that was fitted on nothing has no features and finds nothing.
+        for start, end in stretches(text) if names else ():
             for a, kind, b in Lattice(text, start, end, names, grow=False).best(weights):
                 if all(b <= x or a >= y for x, _, y in base):
                     added.append((a, kind, b))
@@ -319,7 +322,8 @@ def find(docs: DataFrame, fit: int = FIT_STRETCHES) -> DataFrame:
 
     Weights are fitted first, on at most ``fit`` stretches. Every match of the
     patterns is a span; segments of the field that overlap none of them are added.
-    Null and empty texts have none. Texts are read whole.
+    Null and empty texts have none. Texts are read whole. Of labellings of equal score
+    that with more left outside is taken, then that of the longer last segment.
     """
     names, weights = train(samples(docs, fit))
     sent = docs.sparkSession.sparkContext.broadcast((names, weights))
