@@ -66,25 +66,35 @@ class MergeList:
             self.bytes_of[n] = token
         for token, n in self.special.items():
             self.bytes_of[n] = token.encode()
-        self.lookahead = max(map(len, self.id_of)) - 1
+        #: What a merge makes is no longer than this and one byte, so no token reaches further back.
+        self.lookahead = max((len(a) + len(b) for a, b in self.rank), default=1) - 1
         self.endings = {token[k:] for token in self.id_of for k in range(len(token))}
-        #: Each start of a token, with the token's id or -1.
-        self.starts = {token[:k]: -1 for token in self.id_of for k in range(1, len(token))} | self.id_of
         self.fits: dict[int, bool] = {}
 
-    def merged(self, data: bytes) -> list[bytes]:
-        """The definition: merge the pair of least rank, leftmost first, until none is left. For short strings."""
-        parts, rank = [data[k : k + 1] for k in range(len(data))], self.rank
+    def apart(self, left: bytes, right: bytes) -> bool:
+        """Whether merging the joined bytes, the pair of least rank and leftmost first, gives these two tokens again.
+
+        The definition, for short strings. Either may be empty: then whether the other is a token of its own bytes.
+        """
+        data, rank = left + right, self.rank.get
+        parts, border = [data[k : k + 1] for k in range(len(data))], len(left)
         while len(parts) > 1:
             best, at = None, -1
-            for k in range(len(parts) - 1):
-                r = rank.get((parts[k], parts[k + 1]))
+            before = parts[0]
+            for k in range(1, len(parts)):
+                part = parts[k]
+                r = rank((before, part))
                 if r is not None and (best is None or r < best):
                     best, at = r, k
+                before = part
             if best is None:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+            if at == border:
+                return False
+            parts[at - 1 : at + 1] = [parts[at - 1] + parts[at]]
+            if at < border:
+                border -= 1
+        return parts == [token for token in (left, right) if token]
 
     def neighbours(self, a: int, b: int) -> bool:
         """Whether token ``b`` can follow token ``a`` (``a`` = -1: whether ``b`` is a token of its own bytes)."""
@@ -93,51 +103,10 @@ class MergeList:
         if known is None:
             if len(self.fits) > 2_000_000:
                 self.fits.clear()
-            left, right = (self.bytes_of[a] if a >= 0 else b""), self.bytes_of[b]
-            known = self.fits[key] = self.merged(left + right) == ([left, right] if a >= 0 else [right])
+            known = self.fits[key] = self.apart(self.bytes_of[a] if a >= 0 else b"", self.bytes_of[b])
         return known
 
 
-    def resolve(self, data: bytes) -> list[int]:
-        """Encode a string no longer than the lookahead, from the front.
-
-        The longest token that can follow is tried first. A boundary that nothing
-        can follow is marked, since a prefix has one encoding only.
-        """
-        walk, fits, neighbours = self.starts.get, self.fits.get, self.neighbours
-        size, at, out, options, dead = len(data), 0, [], [], set()
-        while at < size:
-            found, end = [], at + 1
-            while end <= size:
-                n = walk(data[at:end])
-                if n is None:
-                    break
-                if n >= 0:
-                    found.append((n, end))
-                end += 1
-            while True:
-                while found:
-                    n, end = found.pop()
-                    if end in dead:
-                        continue
-                    before = out[-1] if out else -1
-                    ok = fits((before << 20) | n if before >= 0 else -n - 1)
-                    if ok or (ok is None and neighbours(before, n)):
-                        break
-                else:
-                    dead.add(at)
-                    if not out:
-                        raise ValueError("the vocabulary lacks a byte")
-                    at -= len(self.bytes_of[out.pop()])
-                    found = options.pop()
-                    continue
-                break
-            out.append(n)
-            options.append(found)
-            at = end
-        return out
-
-
 class Transducer:
     """Bytes of one pre-token in, stable tokens out."""
 
@@ -149,30 +118,24 @@ class Transducer:
 
     def feed(self, data: bytes) -> list[int]:
         m = self.merges
-        id_of, endings, fits, neighbours = m.id_of, m.endings, m.fits, m.neighbours
+        id_of, endings, fits, neighbours = m.id_of.get, m.endings, m.fits.get, m.neighbours
         data = self.data + data
         last, size = self.last, self.size
         for end in range(len(last), len(data) + 1):
-            options = []
+            # Back as far as some token could end here, then the longest token that can follow.
             start = end - 1
-            while start >= 0:
-                ending = data[start:end]
-                if ending not in endings:
-                    break
-                n = id_of.get(ending)
-                if n is not None:
-                    options.append(n)
+            while start and data[start - 1 : end] in endings:
                 start -= 1
-            for n in reversed(options):
-                width = len(m.bytes_of[n])
-                before = last[end - width]
-                ok = fits.get((before << 20) | n if before >= 0 else -n - 1)
-                if ok is None:
-                    ok = neighbours(before, n)
-                if ok:
-                    last.append(n)
-                    size.append(width)
-                    break
+            while start < end:
+                n = id_of(data[start:end])
+                if n is not None:
+                    before = last[start]
+                    ok = fits((before << 20) | n if before >= 0 else -n - 1)
+                    if ok or (ok is None and neighbours(before, n)):
+                        last.append(n)
+                        size.append(end - start)
+                        break
+                start += 1
             else:
                 raise ValueError("the vocabulary lacks a byte")
         self.data = data
@@ -221,12 +184,8 @@ class Encoder:
     def pre_token(self, piece: str) -> tuple[int, ...]:
         found = self.known.get(piece)
         if found is None:
-            data = piece.encode()
-            if len(data) <= self.merges.lookahead:
-                found = tuple(self.merges.resolve(data))
-            else:
-                transducer = Transducer(self.merges)
-                found = (*transducer.feed(data), *transducer.finish())
+            transducer = Transducer(self.merges)
+            found = (*transducer.feed(piece.encode()), *transducer.finish())
             if len(piece) <= CACHED_CHARS:
                 if len(self.known) >= CACHED:
                     self.known.clear()
