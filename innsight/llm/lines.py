@@ -152,7 +152,7 @@ with numbered as (
   select * from lines where length(line) >= {MIN_CHARS} and trim(line) <> ''
 ), shared as (
   select line, min((doc_id, place)) as first from long_lines
-  group by line having count(distinct coalesce(source, '')) >= {MIN_SITES}
+  group by line having count(distinct source) + max(case when source is null then 1 else 0 end) >= {MIN_SITES}
 ), marked as (
   select l.row_no, l.place from long_lines l join shared s on l.line = s.line where (l.doc_id, l.place) <> s.first
 ), flagged as (

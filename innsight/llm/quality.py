@@ -2,15 +2,18 @@
 
 A text is compressed with Zstandard, whole and in fixed chunks. Repetitive text
 compresses too well, noise too little; both bands depend on the length, since a
-short text has little to refer back to.
+short text has little to refer back to. The bands are fitted on a bounded sample of
+labelled texts: between the ratios of the good ones of like length, and a little beyond.
 """
 
 from __future__ import annotations
 
+from math import ceil, log2
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from innsight.llm.common import per_text
+from innsight.llm.common import per_text, sample
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -18,7 +21,7 @@ SYMBOLS = b"#*$%&|<>"
 LEVEL = 3
 CHUNK_BYTES = 2048
 
-#: Bytes below which a band holds, least and greatest ratio of raw to compressed bytes.
+#: Bytes below which a band holds, least and greatest ratio of raw to compressed bytes; where nothing is fitted.
 BANDS = (
     (512, 1.05, 2.6),
     (1024, 1.15, 3.0),
@@ -30,9 +33,17 @@ BANDS = (
 #: Share of a text's chunks that may lie outside the band of their length.
 MAX_BAD_CHUNKS = 0.25
 
+#: Labelled texts that bands are fitted on at most; length classes per doubling; good texts that a class and
+#: its neighbours need; share of them inside the band, and how far it reaches beyond them.
+FIT_ROWS = 6000
+CLASSES = 4
+FEW = 20
+INSIDE = 0.998
+MARGIN = 0.01
+
 SCHEMA = (
     "struct<n_words: long, word_chars: long, n_symbols: long, n_dup_lines: long, n_repeat_words: long,"
-    " base_failed: boolean, kept: boolean, whole_ratio: double, n_chunks: long, n_bad_chunks: long>"
+    " base_failed: boolean, kept: boolean, whole_ratio: double, n_chunks: long, n_bad_chunks: long, n_bytes: long>"
 )
 
 
@@ -87,7 +98,7 @@ def scorer(bands=BANDS, chunk_bytes=CHUNK_BYTES, max_bad_chunks=MAX_BAD_CHUNKS,
         kept = not failed and not _outside(n_bytes, ratio, bands) and bad <= max_bad_chunks * n_chunks
         return (
             n_words, word_chars, n_symbols, len(lines) - len(set(lines)), n_repeat,
-            failed, kept, ratio, n_chunks, bad,
+            failed, kept, ratio, n_chunks, bad, n_bytes,
         )
 
     return one
@@ -102,6 +113,46 @@ def quality(text: Column, **options) -> Column:
     return per_text(lambda: scorer(**options), SCHEMA)(text)
 
 
+def limits(measured: list[tuple[int, float]]) -> tuple[tuple[float, float, float], ...]:
+    """Bands from (bytes, ratio) of good texts, ``CLASSES`` to a doubling of the length.
+
+    A class looks at its neighbours' texts too. Where these are few its lengths keep the limits of ``BANDS``.
+    """
+    by_class: dict[int, list[float]] = {}
+    for size, ratio in measured:
+        own = int(log2(size) * CLASSES)
+        for k in (own - 1, own, own + 1):
+            by_class.setdefault(k, []).append(ratio)
+    fitted = []
+    for k, found in sorted(by_class.items()):
+        if len(found) >= FEW and k >= 0:
+            found.sort()
+            last = ceil(INSIDE * len(found)) - 1
+            least, greatest = found[len(found) - 1 - last] * (1 - MARGIN), found[last] * (1 + MARGIN)
+            fitted.append((2 ** (k / CLASSES), 2 ** ((k + 1) / CLASSES), least, greatest))
+    borders = sorted({edge for low, high, *_ in fitted for edge in (low, high)} | {below for below, *_ in BANDS})
+    out = []
+    for low, below in zip([0, *borders], borders, strict=False):
+        own = next((own for own in fitted if own[0] <= low < own[1]), None)
+        default = next(band for band in BANDS if low < band[0])
+        out.append((below, *(own[2:] if own else default[1:])))
+    return tuple(out)
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[tuple[float, float, float], ...]:
+    """Bands fitted on the texts (doc_id, text) that ``labels`` (doc_id, quality) call good and the base rule keeps.
+
+    At most ``rows`` labels are looked up, those of least hash, and as many different
+    measurements reach the driver; null ids and labels are left out. Without labels the bands are ``BANDS``.
+    """
+    chosen = sample(labels.filter("quality = 1 and doc_id is not null").select("doc_id"), rows)
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(quality(F.col("text")).alias("q"))
+    kept = found.filter("not q.base_failed").select(
+        F.col("q.n_bytes").alias("n_bytes"), F.col("q.whole_ratio").alias("ratio")
+    )
+    return limits([tuple(row) for row in sample(kept, rows).collect()])
+
+
 def score(docs: DataFrame, **options) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored)."""
     return docs.select("doc_id", quality(F.col("text"), **options).alias("q")).select("doc_id", "q.*")

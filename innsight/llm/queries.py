@@ -54,7 +54,8 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.score(_texts(spark, sf_dir))
+    docs = _texts(spark, sf_dir)
+    return quality.score(docs, bands=quality.fit(docs, _table("labels", "doc_id", "quality")(spark, sf_dir)))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +113,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_dedup": lines.REPORT_SQL,
+        "op7_warc": warc.ROUND_TRIP_SQL,
         "op11_ngram_jaccard": jaccard.JOIN_SQL,
         "op12_collocations": collocations.COLLOCATIONS_SQL,
         "op13_ranked_search": ranking.RANK_SQL,

@@ -232,3 +232,18 @@ def read(packages: DataFrame) -> DataFrame:
 def round_trip(pages: DataFrame, folder: str) -> DataFrame:
     """Write all pages (page_id, url, html; other columns are ignored), then read the packages back."""
     return read(write(pages, folder))
+
+
+#: DuckDB: what ``round_trip`` gives, by digests of the payloads. One statement over ``pages``.
+ROUND_TRIP_SQL = f"""
+with hashed as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), firsts as (
+  select payload_digest, min(page_id) as first_id from hashed
+  where payload_bytes >= {MIN_SHARED_BYTES} group by payload_digest
+)
+select h.page_id, cast(h.payload_bytes as bigint) as payload_bytes, h.payload_digest,
+  case when f.first_id is null or f.first_id = h.page_id then 'response' else 'revisit' end as record_type,
+  case when f.first_id <> h.page_id then f.first_id end as refers_to
+from hashed h left join firsts f using (payload_digest)
+"""

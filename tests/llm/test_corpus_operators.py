@@ -168,8 +168,9 @@ def test_pipeline(spark):
     """Each stage by plain means: quality by its function, the others by all pairs."""
     from tokenizers import Tokenizer
 
-    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "source").collect()]
-    one = quality.scorer()
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "source")
+    rows = [tuple(r) for r in docs.collect()]
+    one = quality.scorer(quality.fit(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet")))
     rows = [r for r in rows if one(r[1])[6]]
     sites, first = {}, {}
     for doc_id, text, source in sorted(rows):
