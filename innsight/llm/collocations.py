@@ -30,6 +30,8 @@ TOP = 2000
 #: Percent of a phrase's occurrences inside one longer phrase from which on it goes.
 COVERED = 50
 SEED = 42
+#: Pieces that a language's phrases are ranked in first.
+PIECES = 16
 #: Words after which a task counts and sends what it has.
 FLUSH_WORDS = 2_500_000
 #: Bits of the map of candidates, in buckets of 4 KiB. Fixed, so that it can be sent to every task.
@@ -320,10 +322,13 @@ def collocations(
         .select("lang", F.concat_ws(" ", "s1", "s2", "s3").alias("phrase"), "a", F.array_min(cuts).alias("c"))
         .select("lang", "phrase", "a", "c.l", "c.r", "c.score")
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    # First within pieces, so that the last ranking of a language gets few rows however many tasks there were.
+    dealt = two.unionByName(three).withColumn("piece", F.pmod(F.xxhash64("phrase"), F.lit(PIECES)))
+    place = F.row_number().over(Window.partitionBy("lang", "piece").orderBy(*order))
+    first = dealt.withColumn("place", place).filter(F.col("place") <= top)
     return (
-        two.unionByName(three)
-        .withColumn("rank", F.row_number().over(order).cast("long"))
+        first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
         .filter(F.col("rank") <= top)
         .join(totals, "lang")
         .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
