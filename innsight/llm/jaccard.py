@@ -19,7 +19,11 @@ a leader of every crowded key it has, and described by its difference from that
 leader. Two sets differ as their differences do, and a set that is not alike the
 leader shares so many members of its difference with any set it is alike that a
 prefix of either tells. So a crowd is not compared pair by pair, and no link that
-joins two parts of a component is lost. Candidates are verified by their whole sets.
+joins two parts of a component is lost.
+
+Sets that are alike share not one key but as many as the segments that one of them
+has to spare, and one more: candidates that share fewer go. The others are verified
+by their whole sets.
 """
 
 from __future__ import annotations
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 
 from innsight.llm.common import cut
 from innsight.llm.simhash import components
+from innsight.operators.late import only_ids
 
 WORDS = 5
 #: Fixed by the similarity of 4/5: sets differ in a NINTH of their sizes, and in size by a fourth.
@@ -51,7 +56,7 @@ _LOW = (1 << (_SEGMENT_BITS + 1)) - 1
 #: Spare segments of a set without possible partners.
 _PLENTY = 1 << 30
 
-PROFILE = "node long, size long, spare0 long, spare1 long, more0 long, more1 long"
+PROFILE = "node long, size long, band long, spare0 long, spare1 long, more0 long, more1 long"
 
 
 def _mixed(a):
@@ -164,7 +169,7 @@ class Keys:
                 sizes = self._segments(found, segments, indexed)[2]
                 spares[k & 1] = spare - int((sizes <= deep).sum())
                 more[k & 1] = 0 if deep else int((sizes > 1).sum())
-        return node_of(found), len(found), *spares, *more
+        return node_of(found), len(found), self.plan.band(len(found)), *spares, *more
 
     def keys(self, found, again: tuple[bool, bool] | None = None):
         """Keys of a set; with ``again`` the neighbourhoods in the partitions of these parities instead."""
@@ -279,32 +284,37 @@ def _met(columns) -> Iterator[pa.RecordBatch]:
     crowded = (count > CROWD) | (np.minimum.reduceat(node, start) < 0)
     own = np.repeat(crowded, count) & (node != -1)
     if own.any():
-        yield _meeting(key[own], node[own] & np.int64(_NODE), True)
+        yield _meeting(key[own], node[own] & np.int64(_NODE), None, None)
     a, b = [], []
     for n in np.unique(count[~crowded & (count > 1)]).tolist():
-        rows = node[start[~crowded & (count == n)][:, None] + np.arange(n)]
+        first = start[~crowded & (count == n)]
+        rows = node[first[:, None] + np.arange(n)]
         i, j = np.triu_indices(n, 1)
         a.append(rows[:, i].ravel())
-        b.append(rows[:, j].ravel())
+        b.append((rows[:, j] << 1 | (key[first] & 1)[:, None]).ravel())
     if a:
-        both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
-        yield _meeting(both[0], both[1], False)
+        # The parity goes into b's lowest bit, which nodes leave free.
+        both, times = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]).view(np.uint64), axis=1, return_counts=True)
+        yield _meeting(both[0].view(np.int64), (both[1] >> np.uint64(1)).view(np.int64), (both[1] & np.uint64(1)).view(np.int64), times)
 
 
-def _meeting(a, b, crowded: bool) -> pa.RecordBatch:
+def _meeting(a, b, parity, times) -> pa.RecordBatch:
     import numpy as np
 
-    arrays = [pa.array(a), pa.array(b), pa.array(np.full(len(a), crowded))]
-    return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "crowded"])
+    none = np.zeros(len(a), dtype=np.int64)
+    arrays = [a, b, none if parity is None else parity, none if times is None else times.astype(np.int64)]
+    return pa.RecordBatch.from_arrays(
+        [*map(pa.array, arrays), pa.array(np.full(len(a), times is None))], names=["a", "b", "parity", "times", "crowded"]
+    )
 
 
 def _meet(rows: DataFrame) -> DataFrame:
-    """(a, b, crowded): candidate pairs, and (key, node) of the crowded keys."""
+    """(a, b, parity, times, crowded): pairs by the keys they share, and (key, node) of the crowded keys."""
     apart = (F.col("node") < 0) & (F.col("node") != -1)
     dealt = rows.repartition(F.when(apart, F.xxhash64("key", "node")).otherwise(F.col("key")))
     return cut(
         dealt.sortWithinPartitions("key", "node").mapInArrow(
-            lambda batches: _runs(batches, _met), "a long, b long, crowded boolean"
+            lambda batches: _runs(batches, _met), "a long, b long, parity long, times long, crowded boolean"
         )
     )
 
@@ -339,7 +349,7 @@ def profiles(docs: DataFrame) -> DataFrame:
         one, keys = shingler(), Keys()
         for batch in batches:
             found = zip(*(keys.profile(one(text)) for text in batch.column(2).to_pylist()), strict=True)
-            arrays = [pa.array(column, type=pa.int64()) for column in found] or [pa.array([], type=pa.int64())] * 6
+            arrays = [pa.array(column, type=pa.int64()) for column in found] or [pa.array([], type=pa.int64())] * 7
             names = ["doc_id", "text_hash", *[field.split()[0] for field in PROFILE.split(", ")]]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=names)
 
@@ -362,7 +372,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     texts = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")).alias("own"), "text")
     named = wanted.select("node", F.struct("doc_id", "text_hash").alias("own"))
-    found = texts.join(named, "own").select("node", "text").dropDuplicates(["node"])
+    found = only_ids(texts, named.select("own"), "own").join(named, "own").select("node", "text").dropDuplicates(["node"])
     return found.mapInArrow(run, "node long, members array<long>")
 
 
@@ -389,42 +399,47 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _hard(lacking: DataFrame, again: DataFrame) -> DataFrame:
+def _killed(again: DataFrame) -> DataFrame:
+    """node, killed0 and killed1: its segments, by parity, of whose neighbourhood some key is crowded; at most too many."""
+    rows = again.filter("crowded").select(F.col("b").alias("node"), F.col("a").alias("key"))
+    segment = F.shiftright(F.col("key").bitwiseAND(_LOW), 1)
+    counts = []
+    for parity in (0, 1):
+        own = F.col("key").bitwiseAND(1) == parity
+        # Numbers of segments repeat in sets of more than there are numbers.
+        some = F.count_if(own) < (1 << _SEGMENT_BITS)
+        counts.append(
+            F.when(some, F.count_distinct(F.when(own, segment))).otherwise(F.count_if(own)).alias(f"killed{parity}")
+        )
+    return rows.groupBy("node").agg(*counts)
+
+
+def _hard(lacking: DataFrame) -> DataFrame:
     """Of the lacking sets those that neighbourhoods don't make up for: node, the crowded keys that count, starved.
 
     A set is starved if its useless segments alone are more than it can spare: then
     a set alike it need not share a crowded key.
     """
-    segment = F.shiftright(F.col("b").bitwiseAND(_LOW), 1)
-    killed = (
-        again.filter("crowded")
-        .select(F.col("b").alias("node"), F.col("a").alias("b"))
-        .groupBy("node")
-        .agg(
-            *[
-                F.when(
-                    F.count_if(F.col("b").bitwiseAND(1) == parity) < (1 << _SEGMENT_BITS),
-                    F.count_distinct(F.when(F.col("b").bitwiseAND(1) == parity, segment)),
-                )
-                .otherwise(F.count_if(F.col("b").bitwiseAND(1) == parity))
-                .alias(f"killed{parity}")
-                for parity in (0, 1)
-            ]
-        )
-    )
-    held = lacking.join(killed, "node", "left")
-    is_hard = [
-        F.col(f"lacks{parity}")
-        & (F.col(f"spare{parity}") - F.col(f"crowd{parity}") + F.col(f"more{parity}") < F.coalesce(f"killed{parity}", F.lit(0)))
-        for parity in (0, 1)
-    ]
+    is_hard = [F.col(f"lacks{parity}") & (F.col(f"left{parity}") < 0) for parity in (0, 1)]
     starved = F.lit(False)
     for parity in (0, 1):
         starved = starved | (is_hard[parity] & (F.col(f"spare{parity}") < 0))
-    own = F.filter(
-        "crowded", lambda k: F.when(k.bitwiseAND(1) == 0, is_hard[0]).otherwise(is_hard[1])
-    )
-    return held.filter(is_hard[0] | is_hard[1]).select("node", F.coalesce(own, F.array().cast("array<long>")).alias("keys"), starved.alias("starved"))
+    own = F.filter("crowded", lambda k: F.when(k.bitwiseAND(1) == 0, is_hard[0]).otherwise(is_hard[1]))
+    keys = F.coalesce(own, F.array().cast("array<long>")).alias("keys")
+    return lacking.filter(is_hard[0] | is_hard[1]).select("node", keys, starved.alias("starved"))
+
+
+def _of_both(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """``pairs`` of like sizes, in the partition of the larger band, with the columns of both sets."""
+    for side in ("a", "b"):
+        own = [F.col(name).alias(f"{name}_{side}") for name in ("size", "band", *columns)]
+        pairs = pairs.join(sets.select(F.col("node").alias(side), *own), side)
+    like = F.least("size_a", "size_b") * 5 >= F.greatest("size_a", "size_b") * 4
+    return pairs.filter(like & (F.greatest("band_a", "band_b").bitwiseAND(1) == F.col("parity")))
+
+
+def _of_parity(name: str, side: str):
+    return F.when(F.col("parity") == 0, F.col(f"{name}0_{side}")).otherwise(F.col(f"{name}1_{side}"))
 
 
 #: Parts in a group around a leader: alike it; else a prefix that meets anyone's, or one that meets the alike only.
@@ -512,16 +527,30 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     held = nodes.join(crowds, "node", "left")
     for parity, of_parity in enumerate((lambda k: k.bitwiseAND(1) == 0, lambda k: k.bitwiseAND(1) == 1)):
         own = F.filter(F.coalesce("crowded", F.array().cast("array<long>")), of_parity)
-        held = held.withColumn(f"crowd{parity}", F.size(own))
-        held = held.withColumn(f"lacks{parity}", F.col(f"crowd{parity}") > F.col(f"spare{parity}"))
-    lacking = cut(held.filter("lacks0 or lacks1"))
-    pairs = met.filter("not crowded").select("a", "b").distinct()
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(lacking.select("node")).distinct()
+        held = held.withColumn(f"rest{parity}", F.col(f"spare{parity}") - F.size(own))
+        held = held.withColumn(f"lacks{parity}", F.col(f"rest{parity}") < 0)
+    held = cut(held)
+    lacking = held.filter("lacks0 or lacks1")
+    shared = cut(met.filter("not crowded").groupBy("a", "b", "parity").agg(F.sum("times").alias("times")))
+    enough = F.col("times") > F.greatest(_of_parity("rest", "a"), _of_parity("rest", "b"))
+    first = cut(_of_both(shared, held, "rest0", "rest1").filter(enough).select("a", "b"))
+
+    wanted = first.select(F.explode(F.array("a", "b")).alias("node")).unionByName(lacking.select("node")).distinct()
     sets = cut(_sets(docs, nodes.join(wanted, "node")))
     again = _meet(_key_rows(sets.join(lacking, "node").select("members", "lacks0", "lacks1"), _of_sets))
-    hard = cut(_hard(lacking, again))
-    led, around = _around_leaders(hard, sets)
-    candidates = pairs.unionByName(again.filter("not crowded").select("a", "b")).unionByName(around).distinct()
+    lacking = lacking.join(_killed(again), "node", "left")
+    for parity in (0, 1):
+        left = F.col(f"rest{parity}") + F.col(f"more{parity}") - F.coalesce(f"killed{parity}", F.lit(0))
+        lacking = lacking.withColumn(f"left{parity}", left)
+    lacking = cut(lacking)
+    # A segment found by its neighbourhood makes up for two differences, one found by its subset for one.
+    more = again.filter("not crowded").groupBy("a", "b", "parity").agg(F.sum("times").alias("near"))
+    both = _of_both(more.join(shared, ["a", "b", "parity"], "left"), lacking, "left0", "left1")
+    made_up = F.col("near") * 2 + F.coalesce("times", F.lit(0)) > F.greatest(_of_parity("left", "a"), _of_parity("left", "b"))
+    second = both.filter(made_up).select("a", "b")
+
+    led, around = _around_leaders(cut(_hard(lacking)), sets)
+    candidates = first.unionByName(second).unionByName(around).distinct()
     return _verified(candidates, sets).unionByName(led)
 
 
@@ -536,7 +565,7 @@ def join(docs: DataFrame) -> DataFrame:
     n-grams by 64 bits of their hashes.
     """
     rows = cut(profiles(docs))
-    profile = ["size", "spare0", "spare1", "more0", "more1"]
+    profile = ["size", "band", "spare0", "spare1", "more0", "more1"]
     named = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     nodes = cut(
         rows.filter("size > 0")

@@ -76,7 +76,7 @@ def test_sets_that_are_alike_share_a_key(size):
                 break
         a, b = (np.array(sorted(s), dtype=np.uint64) for s in (base, other))
         meets = bool(set(keys.keys(a).tolist()) & set(keys.keys(b).tolist()))
-        enough = min(keys.profile(a)[2:4]) >= 0 or min(keys.profile(b)[2:4]) >= 0
+        enough = min(keys.profile(a)[3:5]) >= 0 or min(keys.profile(b)[3:5]) >= 0
         assert meets or not enough
         shared, sure = shared + meets, sure + enough
         if size >= 2 * jaccard.SMALL:
