@@ -44,12 +44,18 @@ STEPS_PER_DECADE, LAST_STEP = 20, 400
 #: The coefficients of formula 7.1.26 of Abramowitz and Stegun.
 _ERFC = (1.061405429, -1.453152027, 1.421413741, -0.284496736, 0.254829592)
 
+#: Parts of a text that are folded into one array, an even number.
+PARTS = 256
 #: Stands at both ends of a match; where a text has it itself, another character that no pattern takes stands in.
 MARK, INSTEAD = "", "�"
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Leftmost matches that don't overlap: array of (start, end, value) in code points, end exclusive."""
+    """Leftmost matches that don't overlap: array of (start, end, value) in code points, end exclusive.
+
+    Between marks a text is outside and inside a match in turn. Places are added up
+    over ``PARTS`` parts at a time, so that the work grows with the number of matches and no faster.
+    """
     marked = F.regexp_replace(F.translate(text, MARK, INSTEAD), pattern, f"{MARK}$0{MARK}")
     none = F.expr("cast(array() as array<struct<start: int, `end`: int, value: string>>)")
 
@@ -62,9 +68,25 @@ def matches(text: Column, pattern: str) -> Column:
             F.when(state["inside"], F.array_append(state["found"], span)).otherwise(state["found"]).alias("found"),
         )
 
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), none.alias("found"))
-    found = F.aggregate(F.split(marked, MARK, -1), start, add)["found"]
-    return F.when(text.rlike(pattern), found).otherwise(none)
+    def of(parts: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / PARTS).cast("int"))
+
+        def block(n: Column) -> Column:
+            return F.slice(parts, n * PARTS + 1, F.lit(PARTS))
+
+        sizes = F.transform(blocks, lambda n: F.aggregate(block(n), F.lit(0), lambda a, part: a + F.length(part)))
+        starts = F.aggregate(sizes, F.array(F.lit(0)), lambda a, n: F.array_append(a, F.element_at(a, -1) + n))
+
+        def spans(starts: Column) -> Column:
+            def within(n: Column) -> Column:
+                start = F.struct(F.get(starts, n).alias("at"), F.lit(False).alias("inside"), none.alias("found"))
+                return F.aggregate(block(n), start, add)["found"]
+
+            return F.flatten(F.transform(blocks, within))
+
+        return _bound(starts, spans)
+
+    return F.when(text.rlike(pattern), _bound(F.split(marked, MARK, -1), of)).otherwise(none)
 
 
 def base_spans(text: Column) -> dict[str, Column]:
