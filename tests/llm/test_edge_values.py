@@ -73,9 +73,11 @@ def test_spans(edge_docs):
         for r in found.collect():
             if r.doc_id in (1, 2, 3, 4, 5, 6) or r.doc_id is None:
                 assert (r.base_sha256, r.spans) == (EMPTY, "")
+    (text,) = [r.text for r in edge_docs.collect() if r.doc_id == 7]
     (row,) = secrets.scan(edge_docs).filter("doc_id = 7").collect()
-    assert row.spans == "assign:4:19" and row.n_assign == 1
-    assert row.base_sha256 == hashlib.sha256(b"assign:4:19").hexdigest()
+    span = f"assign:{text.index('token')}:{len(text)}"
+    assert row.spans == span and row.n_assign == 1
+    assert row.base_sha256 == hashlib.sha256(span.encode()).hexdigest()
 
 
 def test_tokens(edge_docs):
