@@ -22,7 +22,8 @@ prefix of either tells. So a crowd is not compared pair by pair, and no link tha
 joins two parts of a component is lost.
 
 Sets that are alike share not one key but as many as the segments that one of them
-has to spare, and one more: candidates that share fewer go. The others are verified
+has to spare, and one more: candidates that share fewer go. So do those whose counts
+of members by hash already differ by more than the sets may. The others are verified
 by their whole sets.
 """
 
@@ -56,7 +57,9 @@ _LOW = (1 << (_SEGMENT_BITS + 1)) - 1
 #: Spare segments of a set without possible partners.
 _PLENTY = 1 << 30
 
-PROFILE = "node long, size long, band long, spare0 long, spare1 long, more0 long, more1 long"
+PROFILE = "node long, size long, band long, spare0 long, spare1 long, more0 long, more1 long, counts binary"
+#: Most buckets that a set's members are counted in.
+BUCKETS = 1024
 
 
 def _mixed(a):
@@ -97,6 +100,34 @@ def node_of(found) -> int:
     return max(1, xxhash.xxh64_intdigest(found.tobytes()) >> 1) if len(found) else 0
 
 
+def counts_of(found) -> bytes:
+    """How many members begin with the same bits: about half as many buckets as members, a byte each, 255 for more."""
+    import numpy as np
+
+    bits = min(max(len(found).bit_length() - 2, 0), BUCKETS.bit_length() - 1)
+    return np.minimum(np.bincount((found >> np.uint64(63 - bits)) >> np.uint64(1), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def differences_by_counts(a: bytes, b: bytes) -> int:
+    """Members that two sets of like sizes differ in at least, by their counts."""
+    import numpy as np
+
+    x, y = (np.frombuffer(data, dtype=np.uint8).astype(np.int64) for data in (a, b))
+    if len(x) < len(y):
+        x, y = y, x
+    # A saturated count stands for no more than it says.
+    folded = np.minimum(x.reshape(len(y), -1).sum(axis=1), 255)
+    return int(np.abs(folded - np.minimum(y, 255)).sum())
+
+
+def _within(a, b, total):
+    found = zip(a.to_pylist(), b.to_pylist(), total.to_pylist(), strict=True)
+    return pa.array([differences_by_counts(x, y) * NINTH <= n for x, y, n in found], type=pa.bool_())
+
+
+_within.__annotations__ = {"a": pa.Array, "b": pa.Array, "total": pa.Array, "return": pa.Array}
+
+
 class Plan:
     """Size bands and their partitions.
 
@@ -169,7 +200,7 @@ class Keys:
                 sizes = self._segments(found, segments, indexed)[2]
                 spares[k & 1] = spare - int((sizes <= deep).sum())
                 more[k & 1] = 0 if deep else int((sizes > 1).sum())
-        return node_of(found), len(found), self.plan.band(len(found)), *spares, *more
+        return node_of(found), len(found), self.plan.band(len(found)), *spares, *more, counts_of(found)
 
     def keys(self, found, again: tuple[bool, bool] | None = None):
         """Keys of a set; with ``again`` the neighbourhoods in the partitions of these parities instead."""
@@ -334,10 +365,12 @@ def _arrays(column) -> Iterator:
         ends += n
 
 
-def _of_sets():
+def _of_lacking():
+    one = shingler()
+
     def sets(batch):
-        again = zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-        return zip(_arrays(batch.column(0)), again, strict=True)
+        columns = (batch.column(k).to_pylist() for k in range(3))
+        return ((one(text), again) for text, *again in zip(*columns, strict=True))
 
     return sets
 
@@ -349,7 +382,9 @@ def profiles(docs: DataFrame) -> DataFrame:
         one, keys = shingler(), Keys()
         for batch in batches:
             found = zip(*(keys.profile(one(text)) for text in batch.column(2).to_pylist()), strict=True)
-            arrays = [pa.array(column, type=pa.int64()) for column in found] or [pa.array([], type=pa.int64())] * 7
+            kinds = [pa.int64()] * 7 + [pa.binary()]
+            columns = list(found) or [[]] * len(kinds)
+            arrays = [pa.array(column, type=kind) for column, kind in zip(columns, kinds, strict=True)]
             names = ["doc_id", "text_hash", *[field.split()[0] for field in PROFILE.split(", ")]]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=names)
 
@@ -357,8 +392,16 @@ def profiles(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id long, text_hash long, {PROFILE}")
 
 
+def _texts(docs: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """node, text and ``columns`` of the wanted nodes (node, doc_id, text_hash), from the row that stands for each."""
+    own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")).alias("own")
+    named = wanted.select("node", *columns, F.struct("doc_id", "text_hash").alias("own"))
+    found = only_ids(docs.select(own, "text"), named.select("own"), "own").join(named, "own")
+    return found.drop("own").dropDuplicates(["node"])
+
+
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, set) of the wanted nodes (node, doc_id, text_hash), from the text of the row that stands for each."""
+    """(node, members) of the wanted nodes (node, doc_id, text_hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -370,10 +413,17 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 [batch.column(0), pa.array(found, type=pa.list_(pa.int64()))], names=["node", "members"]
             )
 
-    texts = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")).alias("own"), "text")
-    named = wanted.select("node", F.struct("doc_id", "text_hash").alias("own"))
-    found = only_ids(texts, named.select("own"), "own").join(named, "own").select("node", "text").dropDuplicates(["node"])
-    return found.mapInArrow(run, "node long, members array<long>")
+    return _texts(docs, wanted).select("node", "text").mapInArrow(run, "node long, members array<long>")
+
+
+def _arrays(column) -> Iterator:
+    """The lists of an Arrow column of longs as arrays."""
+    import numpy as np
+
+    values, ends = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64), 0
+    for n in np.diff(column.offsets.to_numpy()).tolist():
+        yield values[ends : ends + n]
+        ends += n
 
 
 def alike(n_a: int, n_b: int, common: int) -> bool:
@@ -438,6 +488,14 @@ def _of_both(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     return pairs.filter(like & (F.greatest("band_a", "band_b").bitwiseAND(1) == F.col("parity")))
 
 
+def _by_counts(pairs: DataFrame, counts: DataFrame) -> DataFrame:
+    """The pairs (a, b, size_a, size_b) that may be alike by the counts of their members (node, counts)."""
+    for side in ("a", "b"):
+        pairs = pairs.join(counts.select(F.col("node").alias(side), F.col("counts").alias(f"counts_{side}")), side)
+    within = F.arrow_udf(_within, "boolean")(F.col("counts_a"), F.col("counts_b"), F.col("size_a") + F.col("size_b"))
+    return pairs.filter(within).select("a", "b")
+
+
 def _of_parity(name: str, side: str):
     return F.when(F.col("parity") == 0, F.col(f"{name}0_{side}")).otherwise(F.col(f"{name}1_{side}"))
 
@@ -517,10 +575,11 @@ def _around_leaders(hard: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
     return links, dealt.mapInArrow(lambda batches: _runs(batches, _met_around), "a long, b long")
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, counts: DataFrame) -> DataFrame:
     """Edges (a, b) between nodes that join the same sets as all pairs that are alike.
 
-    ``nodes`` has one row per set: node, doc_id and text_hash of a row of ``docs`` that has it, and its profile.
+    ``nodes`` has one row per set: node, doc_id and text_hash of a row of ``docs`` that has it, and its
+    profile; ``counts`` has its node and counts.
     """
     met = _meet(_key_rows(docs.select("text"), _of_texts))
     crowds = met.filter("crowded").groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("crowded"))
@@ -533,11 +592,9 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     lacking = held.filter("lacks0 or lacks1")
     shared = cut(met.filter("not crowded").groupBy("a", "b", "parity").agg(F.sum("times").alias("times")))
     enough = F.col("times") > F.greatest(_of_parity("rest", "a"), _of_parity("rest", "b"))
-    first = cut(_of_both(shared, held, "rest0", "rest1").filter(enough).select("a", "b"))
+    first = cut(_by_counts(_of_both(shared, held, "rest0", "rest1").filter(enough), counts))
 
-    wanted = first.select(F.explode(F.array("a", "b")).alias("node")).unionByName(lacking.select("node")).distinct()
-    sets = cut(_sets(docs, nodes.join(wanted, "node")))
-    again = _meet(_key_rows(sets.join(lacking, "node").select("members", "lacks0", "lacks1"), _of_sets))
+    again = _meet(_key_rows(_texts(docs, lacking, "lacks0", "lacks1").select("text", "lacks0", "lacks1"), _of_lacking))
     lacking = lacking.join(_killed(again), "node", "left")
     for parity in (0, 1):
         left = F.col(f"rest{parity}") + F.col(f"more{parity}") - F.coalesce(f"killed{parity}", F.lit(0))
@@ -547,11 +604,13 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     more = again.filter("not crowded").groupBy("a", "b", "parity").agg(F.sum("times").alias("near"))
     both = _of_both(more.join(shared, ["a", "b", "parity"], "left"), lacking, "left0", "left1")
     made_up = F.col("near") * 2 + F.coalesce("times", F.lit(0)) > F.greatest(_of_parity("left", "a"), _of_parity("left", "b"))
-    second = both.filter(made_up).select("a", "b")
+    hard = cut(_hard(lacking))
+    pairs = cut(_by_counts(both.filter(made_up), counts).unionByName(first))
 
-    led, around = _around_leaders(cut(_hard(lacking)), sets)
-    candidates = first.unionByName(second).unionByName(around).distinct()
-    return _verified(candidates, sets).unionByName(led)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(hard.select("node")).distinct()
+    sets = cut(_sets(docs, nodes.join(wanted, "node")))
+    led, around = _around_leaders(hard, sets)
+    return _verified(pairs.unionByName(around).distinct(), sets).unionByName(led)
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -573,7 +632,8 @@ def join(docs: DataFrame) -> DataFrame:
         .agg(F.min(named).alias("least"))
         .select("node", "least.doc_id", "least.text_hash", *profile)
     )
-    roots = components(cut(links(docs, nodes))).withColumnRenamed("node", "joined")
+    counts = rows.filter("size > 0").groupBy("node").agg(F.max("counts").alias("counts"))
+    roots = components(cut(links(docs, nodes, counts))).withColumnRenamed("node", "joined")
     placed = nodes.join(roots, nodes.node == roots.joined, "left").select(
         "node", "doc_id", F.coalesce("root", "node").alias("root")
     )

@@ -85,6 +85,18 @@ def test_sets_that_are_alike_share_a_key(size):
     assert shared >= sure and sure > 20
 
 
+@pytest.mark.parametrize("size", [1, 2, 5, 17, 63, 64, 65, 300, 3000])
+def test_counts_never_say_more_than_the_sets(size):
+    rng = random.Random(size)
+    for _ in range(30):
+        base = [rng.getrandbits(64) for _ in range(size)]
+        other = rng.sample(base, rng.randint((3 * size + 3) // 4, size)) + [rng.getrandbits(64) for _ in range(rng.randint(0, size // 4))]
+        a, b = (np.array(sorted(s), dtype=np.uint64) for s in (base, other))
+        assert jaccard.differences_by_counts(jaccard.counts_of(a), jaccard.counts_of(b)) <= len(set(base) ^ set(other))
+    far = np.array(sorted(rng.getrandbits(64) for _ in range(size)), dtype=np.uint64)
+    assert size < 64 or jaccard.differences_by_counts(jaccard.counts_of(a), jaccard.counts_of(far)) > size / 2
+
+
 def test_join_by_all_pairs(spark):
     rng, rows = random.Random(4), []
     for n in (1, 3, 5, 8, 9, 12, 17, 24, 30, 48, 60, 150, 300):
