@@ -33,7 +33,7 @@ from collections.abc import Iterator
 from math import ceil, exp, sqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from innsight.llm.common import cut
@@ -47,6 +47,8 @@ NINTH = 9
 SMALL = 45
 #: A key of more sets is crowded.
 CROWD = 32
+#: Pieces that the sets of a leader are dealt in.
+PIECES = 64
 #: Keys that a task holds before it sends them, and sets it remembers to have sent.
 FLUSH_KEYS, REMEMBERED = 1_000_000, 200_000
 _MIX = 0x9E3779B97F4A7C15
@@ -476,7 +478,7 @@ def _hard(lacking: DataFrame) -> DataFrame:
         starved = starved | (is_hard[parity] & (F.col(f"spare{parity}") < 0))
     own = F.filter("crowded", lambda k: F.when(k.bitwiseAND(1) == 0, is_hard[0]).otherwise(is_hard[1]))
     keys = F.coalesce(own, F.array().cast("array<long>")).alias("keys")
-    return lacking.filter(is_hard[0] | is_hard[1]).select("node", keys, starved.alias("starved"))
+    return lacking.filter(is_hard[0] | is_hard[1]).select("node", keys, starved.alias("starved"), "spare0", "spare1")
 
 
 def _of_both(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
@@ -559,20 +561,31 @@ def _met_around(columns) -> Iterator[pa.RecordBatch]:
 def _around_leaders(hard: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) of hard sets to leaders, and candidate pairs among the sets that have one leader.
 
-    The leader of a key is the set with the most crowded keys, the one most like the others.
+    The leader of a key is the set with the most crowded keys, the one most like the others. Two
+    sets that are alike and have met nowhere yet share one crowded key more than either has
+    segments to spare. So a set leaves out as many of its keys, those whose leaders lead the fewest
+    keys first: the shared key that comes last in that order is left out by neither.
     """
-    keyed = hard.select("node", F.size("keys").alias("n"), F.explode("keys").alias("key"))
+    keyed = hard.select("node", "spare0", "spare1", F.size("keys").alias("n"), F.explode("keys").alias("key"))
     first = keyed.groupBy("key").agg(F.max(F.struct("n", "node"))["node"].alias("leader"))
-    led = keyed.join(first, "key").select("node", "leader").unionByName(
+    follows = first.groupBy("leader").agg(F.count(F.lit(1)).alias("leads"))
+    parity = F.col("key").bitwiseAND(1)
+    order = Window.partitionBy("node", parity).orderBy("leads", "leader", "key")
+    spare = F.when(parity == 0, F.col("spare0")).otherwise(F.col("spare1"))
+    kept = keyed.join(first.join(follows, "leader"), "key").withColumn("place", F.row_number().over(order))
+    led = kept.filter(F.col("place") > spare).select("node", "leader").unionByName(
         hard.filter("starved").select("node", F.lit(0).cast("long").alias("leader"))
     )
     none = sets.sparkSession.createDataFrame([(0, [])], "node long, members array<long>")
     middles = sets.unionByName(none).select(F.col("node").alias("leader"), F.col("members").alias("middle"))
-    both = led.filter("node <> leader").distinct().join(sets, "node").join(middles, "leader")
+    # A leader of many sets meets them in pieces.
+    dealt = led.filter("node <> leader").distinct().withColumn("piece", F.pmod(F.xxhash64("node"), F.lit(PIECES)))
+    pieces = dealt.select("leader", "piece").distinct().join(middles, "leader")
+    both = dealt.join(sets, "node").join(pieces, ["leader", "piece"])
     rows = cut(both.select("node", "leader", "members", "middle").mapInArrow(_differences, "key long, node long, part long"))
     links = rows.filter("part < 0").select(F.col("node").alias("a"), (-F.col("part")).alias("b"))
-    dealt = rows.filter("part >= 0").repartition("key").sortWithinPartitions("key", "node")
-    return links, dealt.mapInArrow(lambda batches: _runs(batches, _met_around), "a long, b long")
+    keyed = rows.filter("part >= 0").repartition("key").sortWithinPartitions("key", "node")
+    return links, keyed.mapInArrow(lambda batches: _runs(batches, _met_around), "a long, b long")
 
 
 def links(docs: DataFrame, nodes: DataFrame, counts: DataFrame) -> DataFrame:
