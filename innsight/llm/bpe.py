@@ -37,8 +37,10 @@ PATTERN = (
 )
 #: Characters read at a time, and entries of a worker's caches.
 BLOCK = 1 << 16
-CACHED = 300_000
+CACHED = 200_000
 CACHED_CHARS = 64
+#: Pairs of neighbouring tokens that a worker remembers.
+PAIRS = 500_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -101,7 +103,7 @@ class MergeList:
         key = (a << 20) | b if a >= 0 else -b - 1
         known = self.fits.get(key)
         if known is None:
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) > PAIRS:
                 self.fits.clear()
             known = self.fits[key] = self.apart(self.bytes_of[a] if a >= 0 else b"", self.bytes_of[b])
         return known
