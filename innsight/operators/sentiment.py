@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innsight.functions.text import combined_review, strip_punctuation, words
+from innsight.operators.late import only_ids
 from innsight.operators.skew import HOT_ROWS, frequent_keys, spread_join
 
 NORMALISATION = 15.0  # fixed value
@@ -71,7 +72,9 @@ def with_sentiment(
     the words of each review and needs ``id_column``, a unique key of the rows. Words
     are compared in lower case; of a word that is listed twice the least valence holds.
 
-    The words of a review are summed up before the join. A word of more than about
+    Words that the lexicon lacks are dropped where they are read, by a bit map of its
+    words of fixed size, so what is shuffled grows with the words found. The words of
+    a review are summed up before the join. A word of more than about
     ``hot_rows`` reviews is dealt to several tasks, by the review's id, and its
     entry of the lexicon goes to each of them; with ``None`` the words are not looked
     through for such, which spares a reading of the texts where the lexicon is small.
@@ -91,9 +94,7 @@ def with_sentiment(
 def _totals(worded: DataFrame, lexicon: DataFrame, id_column: str, hot_rows: int | None) -> DataFrame:
     """The summed valences of each review (id, ``_words``) that has a word of the lexicon."""
     valences = lexicon.groupBy(F.lower("word").alias("word")).agg(F.min("valence").alias("valence"))
-    found = worded.select(id_column, F.explode("_words").alias("word")).withColumn(
-        "word", strip_punctuation(F.col("word"))
-    )
+    found = _listed(worded, valences, id_column)
     times = found.groupBy(id_column, "word").agg(F.count(F.lit(1)).alias("_times"))
     if hot_rows is None:
         hits = times.join(valences, "word")
@@ -102,3 +103,9 @@ def _totals(worded: DataFrame, lexicon: DataFrame, id_column: str, hot_rows: int
         weighed = valences.join(hot, "word", "left").withColumn("_rows", F.coalesce("_rows", F.lit(1)))
         hits = spread_join(times, weighed, "word", "_rows", [id_column], hot_rows)
     return hits.groupBy(id_column).agg(F.sum(F.col("_times") * F.col("valence")).alias("_total"))
+
+
+def _listed(worded: DataFrame, valences: DataFrame, id_column: str) -> DataFrame:
+    """(id, ``word``) of each word that may be in the lexicon: all that are, and few others. No shuffle of the words."""
+    found = worded.select(id_column, F.explode("_words").alias("word"))
+    return only_ids(found.withColumn("word", strip_punctuation(F.col("word"))), valences, "word")
