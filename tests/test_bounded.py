@@ -6,6 +6,29 @@ from pyspark.sql import functions as F
 
 from innsight.operators import scoring
 from innsight.operators.sentiment import review_words, with_sentiment
+from workload import views
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def below(text, line_with):
+    """The part of a plan under the first line that holds ``line_with``."""
+    lines = text.splitlines()
+    depth = [next((k for k, c in enumerate(line) if c.isalpha()), 0) for line in lines]
+    first = next(k for k, line in enumerate(lines) if line_with in line)
+    last = next((k for k in range(first + 1, len(lines)) if depth[k] <= depth[first]), len(lines))
+    return "\n".join(lines[first + 1 : last])
+
+
+def test_reviewers_meet_orders_before_line_items(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = views.raw_reviews(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffled = below(plan, "Exchange hashpartitioning(o_custkey")
+    assert "o_orderkey" in shuffled and "l_orderkey" not in shuffled
 
 
 @pytest.mark.parametrize("hot_rows", [None, 5_000_000])
