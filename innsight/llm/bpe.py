@@ -70,9 +70,59 @@ class MergeList:
             self.bytes_of[n] = token.encode()
         #: What a merge makes is no longer than this and one byte, so no token reaches further back.
         self.lookahead = max((len(a) + len(b) for a, b in self.rank), default=1) - 1
-        self.endings = {token[k:] for token in self.id_of for k in range(len(token))}
+        self.length = [len(token) for token in self.bytes_of]
+        self._suffixes()
         self.fits: dict[int, bool] = {}
 
+    def _suffixes(self) -> None:
+        """Which tokens end at a place, the longest first, by one state per prefix of a token.
+
+        A string's state is its longest end that begins a token; ``longest`` has the longest token that ends
+        there (-1: none) and ``shorter`` the next one of each token.
+        """
+        self.steps: dict[int, int] = {}
+        self.fallback, self.longest, self.shorter = [0], [-1], [-1] * len(self.bytes_of)
+        found: list[list[tuple[int, int]]] = []  # by depth: (step, state)
+        for token, n in self.id_of.items():
+            state = 0
+            for depth, byte in enumerate(token):
+                step = state << 8 | byte
+                state = self.steps.get(step, 0)
+                if not state:
+                    state = self.steps[step] = len(self.longest)
+                    self.fallback.append(0)
+                    self.longest.append(-1)
+                    if depth == len(found):
+                        found.append([])
+                    found[depth].append((step, state))
+            if state:
+                self.longest[state] = n
+        for depth, level in enumerate(found):
+            for step, state in level:
+                back = self.step(self.fallback[step >> 8], step & 255) if depth else 0
+                self.fallback[state] = back
+                if self.longest[state] < 0:
+                    self.longest[state] = self.longest[back]
+                else:
+                    self.shorter[self.longest[state]] = self.longest[back]
+        self.steps_kept = len(self.steps) + PAIRS
+
+    def step(self, state: int, byte: int) -> int:
+        """The state after one more byte."""
+        steps = self.steps
+        found = steps.get(state << 8 | byte)
+        while found is None and state:
+            state = self.fallback[state]
+            found = steps.get(state << 8 | byte)
+        return found or 0
+
+    def fresh_step(self, state: int, byte: int) -> int:
+        """:meth:`step`, remembered."""
+        found = self.step(state, byte)
+        if len(self.steps) < self.steps_kept:
+            self.steps[state << 8 | byte] = found
+        return found
+
     def apart(self, left: bytes, right: bytes) -> bool:
         """Whether merging the joined bytes, the pair of least rank and leftmost first, gives these two tokens again.
 
@@ -115,38 +165,58 @@ class Transducer:
     def __init__(self, merges: MergeList):
         self.merges = merges
         self.data = b""  # bytes behind the last stable boundary
-        self.last = [-1]  # for each boundary the id of the last token; at 0 the last stable token
-        self.size = [0]  # and that token's length
+        self.last = [-1]  # for each boundary the id of the last token, None until asked for; at 0 the last stable token
+        self.ends = [-1]  # and the longest token that ends there
+        self.state = 0  # of all bytes so far
 
     def feed(self, data: bytes) -> list[int]:
         m = self.merges
-        id_of, endings, fits, neighbours = m.id_of.get, m.endings, m.fits.get, m.neighbours
-        data = self.data + data
-        last, size = self.last, self.size
-        for end in range(len(last), len(data) + 1):
-            # Back as far as some token could end here, then the longest token that can follow.
-            start = end - 1
-            while start and data[start - 1 : end] in endings:
-                start -= 1
-            while start < end:
-                n = id_of(data[start:end])
-                if n is not None:
+        steps, longest, fresh, state, ends = m.steps.get, m.longest, m.fresh_step, self.state, self.ends
+        for byte in data:
+            known = steps(state << 8 | byte)
+            state = fresh(state, byte) if known is None else known
+            ends.append(longest[state])
+        self.last += [None] * len(data)
+        self.data += data
+        self.state = state
+        return self._stable() if len(self.data) > 2 * m.lookahead else []
+
+    def _last(self, end: int) -> int:
+        """The last token of the bytes up to a boundary: the longest that ends there and can follow what it leaves.
+
+        What it leaves is asked for in turn, and only that.
+        """
+        m, last, ends = self.merges, self.last, self.ends
+        fits, shorter, length = m.fits.get, m.shorter, m.length
+        asked = [(end, ends[end])]
+        while asked:
+            at, n = asked.pop()
+            while n >= 0:
+                start = at - length[n]
+                if start >= 0:
                     before = last[start]
+                    if before is None:
+                        asked.append((at, n))
+                        at, n = start, ends[start]
+                        continue
                     ok = fits((before << 20) | n if before >= 0 else -n - 1)
-                    if ok or (ok is None and neighbours(before, n)):
-                        last.append(n)
-                        size.append(end - start)
+                    if ok or (ok is None and m.neighbours(before, n)):
                         break
-                start += 1
+                n = shorter[n]
             else:
                 raise ValueError("the vocabulary lacks a byte")
-        self.data = data
-        return self._stable() if len(data) > 2 * m.lookahead else []
+            last[at] = n
+        return last[end]
+
+    def _before(self, end: int) -> int:
+        """The boundary that the last token before one leaves."""
+        found = self.last[end]
+        return end - self.merges.length[self._last(end) if found is None else found]
 
     def _back(self, end: int) -> list[int]:
         path = [end]
         while path[-1]:
-            path.append(path[-1] - self.size[path[-1]])
+            path.append(self._before(path[-1]))
         return path
 
     def _stable(self) -> list[int]:
@@ -156,17 +226,17 @@ class Transducer:
         while len(alive) > 1:
             far = max(alive)
             alive.remove(far)
-            alive.add(far - self.size[far])
+            alive.add(self._before(far))
         stop = alive.pop()
         if stop == 0:
             return []
         out = [self.last[k] for k in reversed(self._back(stop)[:-1])]
-        self.data, self.last, self.size = self.data[stop:], self.last[stop:], self.size[stop:]
+        self.data, self.last, self.ends = self.data[stop:], self.last[stop:], self.ends[stop:]
         return out
 
     def finish(self) -> list[int]:
         out = [self.last[k] for k in reversed(self._back(len(self.data))[:-1])]
-        self.data, self.last, self.size = b"", [-1], [0]
+        self.data, self.last, self.ends, self.state = b"", [-1], [-1], 0
         return out
 
 
@@ -209,7 +279,9 @@ class Encoder:
             self.chunks[chunk] = ids
             return ids
         out: list[int] = []
-        self._plain(self.split(chunk if chunk[0] == "\n" else " " + chunk), out)
+        # Letters of ASCII alone are one pre-token with the blank before them.
+        whole = chunk.isascii() and chunk.isalpha()
+        self._plain([" " + chunk] if whole else self.split(chunk if chunk[0] == "\n" else " " + chunk), out)
         ids = tuple(out)
         if len(chunk) <= CACHED_CHARS:
             if len(self.chunks) >= CACHED:
