@@ -142,6 +142,55 @@ def test_a_crowd_is_not_compared_pair_by_pair(spark, monkeypatch):
     assert counted[1] <= 4 * counted[0], counted
 
 
+def test_differences_grow_with_the_crowd(spark, monkeypatch):
+    """Four times the texts, at most six times the rows that tell of their differences from leaders."""
+    counted, kept = [], jaccard.cut
+
+    def counting(df):
+        out = kept(df)
+        if df.columns == ["key", "node", "part"]:
+            counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "cut", counting)
+    crowd = _crowd(random.Random(11), 1200, words=200)
+    for n in (300, 1200):
+        docs = spark.createDataFrame(list(enumerate(crowd[:n])), "doc_id long, text string")
+        jaccard.join(docs).count()
+    assert 0 < counted[1] <= 6 * counted[0], counted
+
+
+def test_leaders_give_way(spark):
+    """3 leads one of its keys and 4 the others, 9 leads all of its own; each key has one leader."""
+    sets = {4: [1, 2, 3, 4], 3: [3, 4, 5], 2: [5, 1], 9: [7, 8, 6], 8: [7]}
+    rows = [(node, len(keys), key) for node, keys in sets.items() for key in keys]
+    found = jaccard._leaders(spark.createDataFrame(rows, "node long, n int, key long"))
+    assert dict(map(tuple, found.select("key", "leader").collect())) == {1: 4, 2: 4, 3: 4, 4: 4, 5: 4, 6: 9, 7: 9, 8: 9}
+    assert found.count() == 8
+
+
+def test_join_of_crowds_whose_leaders_give_way(spark, monkeypatch):
+    """Families of near copies that share a passage, against all pairs."""
+    kept, ways = jaccard._leaders, []
+
+    def watching(keyed):
+        out = kept(keyed)
+        firsts = keyed.groupBy("key").agg(jaccard.F.max(jaccard.F.struct("n", "node"))["node"].alias("node"))
+        ways.append((firsts.select("node").distinct().count(), out.select("leader").distinct().count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "_leaders", watching)
+    rng = random.Random(12)
+    passage, texts = _text(rng, 60), []
+    for n, words in ((500, 90), (250, 70)):
+        base = _text(rng, words)
+        texts += [" ".join(passage + _edited(base, rng.randint(0, 12), rng)) for _ in range(n)]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    assert _joined(spark, rows) == _by_all_pairs(rows)
+    assert ways[0][1] < ways[0][0], ways
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
     rows = sorted(map(tuple, docs.collect()))
