@@ -160,6 +160,13 @@ def test_differences_grow_with_the_crowd(spark, monkeypatch):
     assert 0 < counted[1] <= 6 * counted[0], counted
 
 
+def test_each_key_gives_its_pairs():
+    """Not the first one alone: parts of later keys were lost."""
+    columns = [np.array(c) for c in ([1, 1, 1, 2, 2, 2], [10, 11, 12, 20, 21, 22], [0, 0, 1, 0, 2, 2])]
+    found = [pair for batch in jaccard._met_around(columns) for pair in zip(*batch.to_pydict().values(), strict=True)]
+    assert sorted(set(found)) == [(10, 12), (11, 12), (20, 21), (20, 22), (21, 22)]
+
+
 def test_leaders_give_way(spark):
     """3 leads one of its keys and 4 the others, 9 leads all of its own; each key has one leader."""
     sets = {4: [1, 2, 3, 4], 3: [3, 4, 5], 2: [5, 1], 9: [7, 8, 6], 8: [7]}
