@@ -49,3 +49,45 @@ def test_held_out_labels(spark):
     print(f"good texts lost {lost:.4f}, bad texts caught {caught:.3f}")
     assert lost < 0.01 and caught > 0.6
     assert quality.score(docs).filter("kept = base_failed").count() == 0 < scored.filter("kept = base_failed").count()
+
+
+def _short_text(rng):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 9))) for _ in range(rng.randint(55, 70)))
+
+
+def _all_measured(texts):
+    """(bytes, ratio) of the texts that the base rule keeps, one by one."""
+    one = quality.scorer()
+    return [(q[10], q[7]) for q in map(one, texts) if not q[5]]
+
+
+def test_all_labels_are_fitted_on(spark):
+    """Bands of thousands of labelled texts are those of all of them by definition, not of some."""
+    rng = random.Random(7)
+    texts = [_short_text(rng) for _ in range(7000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    labels = docs.select("doc_id", (docs.doc_id % 50 > 0).cast("int").alias("quality"))
+    good = _all_measured(text for k, text in enumerate(texts) if k % 50)
+    assert len(good) > 6800 and quality.fit(docs, labels) == quality.limits(good) != quality.limits(good[:6000])
+
+
+def test_texts_of_one_measurement_all_count(spark):
+    """Copies under many ids weigh as many texts; a row or a label that repeats, null ids and other ids don't."""
+    rng = random.Random(8)
+    common = _short_text(rng)
+    texts = [common] * 1200 + [common[:-20] + "x" * 20] + [_short_text(rng) for _ in range(30)]
+    rows = [*enumerate(texts), (None, "w " * 60 + _short_text(rng)), (-1, _short_text(rng))]
+    docs = spark.createDataFrame([*rows, *rows[1200:]], "doc_id long, text string")
+    labels = [(k, 1) for k, _ in rows if k is None or k >= 0] * 2 + [(0, 0), (2**40, 1), (-1, None)]
+    found = quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    measured = _all_measured(texts)
+    assert found == quality.limits(measured) != quality.limits(list(set(measured)))
+
+
+def test_few_and_no_texts_keep_the_fixed_bands(spark):
+    texts = [_short_text(random.Random(k)) for k in range(quality.FEW - 1)]
+    docs = spark.createDataFrame([*enumerate(texts), (100, ""), (101, None)], "doc_id long, text string")
+    labels = docs.selectExpr("cast(doc_id as int) as doc_id", "1 as quality")
+    assert quality.fit(docs, labels) == quality.BANDS
+    twenty = docs.union(spark.createDataFrame([(200, texts[0])], docs.schema))
+    assert quality.fit(twenty, labels.union(spark.sql("select 200, 1"))) == quality.limits(_all_measured([*texts, texts[0]]))
